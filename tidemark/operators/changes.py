@@ -110,11 +110,11 @@ def merge_plan(target: DataFrame, latest: DataFrame, pk: Sequence[str],
     op = F.col("_s_Op")
     is_delete = F.coalesce(op == "D", F.lit(False))
     inserts = F.coalesce(op != "D", F.lit(False))
+    action = F.when(~in_s, ACTION_KEEP).when(in_t & is_delete, ACTION_DELETE)
+    if ignore_stale:
+        action = action.when(in_t & (F.col("_s__cdc_ts") < F.col("_t__cdc_ts")), ACTION_STALE)
     action = (
-        F.when(~in_s, ACTION_KEEP)
-        .when(in_t & is_delete, ACTION_DELETE)
-        .when(in_t & F.lit(ignore_stale) & (F.col("_s__cdc_ts") < F.col("_t__cdc_ts")), ACTION_STALE)
-        .when(in_t, ACTION_UPDATE)
+        action.when(in_t, ACTION_UPDATE)
         .when(inserts, ACTION_INSERT)
         .otherwise(ACTION_IGNORE)
     )

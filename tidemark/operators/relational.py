@@ -65,13 +65,19 @@ def between_ts(df: DataFrame, col: str, lo: str | None, hi: str | None) -> DataF
     return df.where(cond)
 
 
-def seeded_sample(df: DataFrame, key: str, n: int, seed: str | int) -> DataFrame:
-    """n rows chosen by md5(key || seed): reproducible across runs and engines.
+def sample_draw(keys: Sequence[str], seed: str | int) -> Column:
+    """md5 of the key values joined with '|' followed by the seed."""
+    return F.md5(F.concat(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), F.lit(str(seed))))
+
+
+def seeded_sample(df: DataFrame, key: str | Sequence[str], n: int, seed: str | int) -> DataFrame:
+    """n rows chosen by md5(keys || seed): reproducible across runs and engines.
 
     The limit is the feature here (a sampling operator); the ordering is a
-    top-n (TakeOrderedAndProject), so no full sort is shuffled."""
-    draw = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-    return df.orderBy(draw, F.col(key)).limit(n)
+    top-n (TakeOrderedAndProject): each task keeps its n best rows, so no full
+    sort is shuffled."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.orderBy(sample_draw(keys, seed), *[F.col(k) for k in keys]).limit(n)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

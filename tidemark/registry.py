@@ -43,3 +43,173 @@ def q_fact(spark, sf):
 @query("late_rate_by_province")
 def q_late_rate(spark, sf):
     return B.late_rate_by_province(CU.fact(spark, sf), CU.curated(spark, sf).dim_customer)
+
+
+# ---- step 2: change application ----------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidemark.functions.cleanse import status_step  # noqa: E402
+from tidemark.operators import changes as C  # noqa: E402
+from tidemark.operators import relational as R  # noqa: E402
+from tidemark.operators import scd  # noqa: E402
+from tidemark.operators.star import CLOSED_STATUSES  # noqa: E402
+
+# Fixed values of the test scenarios (seeded draws, sizes as in the
+# reference's activity generator: 100 status updates, 10 deletes, 5 keys).
+SAMPLE_SEED = "tidemark"
+N_STATUS_UPDATES = 100
+N_DELETES = 10
+N_FIRST_KEYS = 5
+CUSTOMER_PK = C.TABLE_KEYS["customers"]
+ITEM_PK = C.TABLE_KEYS["order_items"]
+
+
+@query("cdc_latest_per_key")
+def q_cdc_latest(spark, sf):
+    return C.prepare(CU.curated(spark, sf).change_batches[1], CUSTOMER_PK)
+
+
+@query("cdc_first_load")
+def q_cdc_first(spark, sf):
+    return CU.curated(spark, sf).cleansed_states[0]
+
+
+@query("cdc_after_batch1")
+def q_cdc_b1(spark, sf):
+    return CU.curated(spark, sf).cleansed_states[1]
+
+
+@query("cdc_after_batch2")
+def q_cdc_b2(spark, sf):
+    return CU.curated(spark, sf).cleansed_states[2]
+
+
+@query("cdc_after_batch3")
+def q_cdc_b3(spark, sf):
+    return CU.curated(spark, sf).cleansed_states[3]
+
+
+@query("cdc_applied_counts")
+def q_cdc_counts(spark, sf):
+    c = CU.curated(spark, sf)
+    out = None
+    for k in (1, 2, 3):
+        plan = C.merge_plan(c.cleansed_states[k - 1], C.prepare(c.change_batches[k], CUSTOMER_PK), CUSTOMER_PK)
+        counts = C.applied_counts(plan, "customers").withColumn("batch", F.lit(k))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+@query("update_where_keys")
+def q_update_where(spark, sf):
+    customers = CU.curated(spark, sf).cleansed_states[3]
+    keys = R.first_keys(customers, "customer_id", N_FIRST_KEYS)
+    return C.update_where(customers, keys, ["customer_id"], {
+        "customer_city": F.lit("Mississauga"), "customer_state": F.lit("ON")})
+
+
+@query("delete_by_keys")
+def q_delete_keys(spark, sf):
+    items = CU.curated(spark, sf).items
+    doomed = R.seeded_sample(items.select(*ITEM_PK), ITEM_PK, N_DELETES, SAMPLE_SEED)
+    return C.delete_keys(items, doomed, ITEM_PK)
+
+
+def stepped_fact_lines(fact):
+    """Fact lines of a seeded sample of undelivered orders, one status step on."""
+    orders = fact.where(F.col("order_status") != "delivered").select("order_id").distinct()
+    picked = R.seeded_sample(orders, "order_id", N_STATUS_UPDATES, SAMPLE_SEED)
+    lines = R.where_key_in(fact, picked, "order_id")
+    new_status = status_step("order_status")
+    return lines.withColumn("order_status", new_status).withColumn(
+        "at_risk", F.col("delivered_ts").isNull() & ~F.col("order_status").isin(*CLOSED_STATUSES)
+        & (F.col("estimated_delivery") < F.lit(X.AS_OF_TS).cast("timestamp")))
+
+
+@query("upsert_fact")
+def q_upsert_fact(spark, sf):
+    fact = CU.fact(spark, sf)
+    return C.upsert(fact, stepped_fact_lines(fact), ["order_id", "order_item_id"])
+
+
+# ---- step 3: dimensions -------------------------------------------------
+@query("attr_hash")
+def q_attr_hash(spark, sf):
+    return scd.customer_source(CU.curated(spark, sf).cleansed_states[3])
+
+
+@query("scd2_after_3_batches")
+def q_scd2(spark, sf):
+    return CU.curated(spark, sf).dim_customer
+
+
+@query("scd2_history")
+def q_scd2_history(spark, sf):
+    return scd.scd2_history(CU.curated(spark, sf).dim_customer)
+
+
+@query("scd2_versioned")
+def q_scd2_versioned(spark, sf):
+    return scd.scd2_versioned(CU.curated(spark, sf).dim_customer)
+
+
+@query("fact_key_current")
+def q_fact_key_current(spark, sf):
+    return CU.fact(spark, sf, key_mode="current").select("order_id", "order_item_id", "customer_id", "customer_key")
+
+
+@query("fact_key_as_of")
+def q_fact_key_as_of(spark, sf):
+    return CU.fact(spark, sf, key_mode="as_of").select("order_id", "order_item_id", "customer_id", "customer_key")
+
+
+# ---- step 4: business queries --------------------------------------------
+# Query parameters over the test data's order history.
+SINCE = "1998-01-01 00:00:00"
+MONTH_LO, MONTH_HI = "1998-06-01 00:00:00", "1998-07-01 00:00:00"
+
+
+@query("clv_by_cohort")
+def q_clv(spark, sf):
+    return B.clv_by_cohort(CU.fact(spark, sf), CU.curated(spark, sf).dim_customer, 20, 50)
+
+
+@query("at_risk_orders")
+def q_at_risk(spark, sf):
+    return B.at_risk_orders(CU.fact(spark, sf), CU.curated(spark, sf).dim_customer, X.AS_OF_TS, 100)
+
+
+@query("sales_by_month_category")
+def q_sales(spark, sf):
+    c = CU.curated(spark, sf)
+    return B.sales_by_month_category(CU.fact(spark, sf), c.dim_product, c.dim_date, SINCE, 100)
+
+
+@query("month_total")
+def q_month_total(spark, sf):
+    return B.total(CU.fact(spark, sf), MONTH_LO, MONTH_HI)
+
+
+@query("full_total")
+def q_full_total(spark, sf):
+    return B.total(CU.fact(spark, sf))
+
+
+@query("min_customer_versions")
+def q_min_versions(spark, sf):
+    return scd.min_customer_versions(CU.curated(spark, sf).dim_customer)
+
+
+@query("revenue_by_province")
+def q_rev_province(spark, sf):
+    return B.revenue_by_province(CU.fact(spark, sf), CU.curated(spark, sf).dim_customer)
+
+
+@query("revenue_by_status")
+def q_rev_status(spark, sf):
+    return B.revenue_by_status(CU.fact(spark, sf))
+
+
+@query("top_categories")
+def q_top_categories(spark, sf):
+    return B.top_categories(CU.fact(spark, sf), CU.curated(spark, sf).dim_product, 10)
