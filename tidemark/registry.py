@@ -213,3 +213,167 @@ def q_rev_status(spark, sf):
 @query("top_categories")
 def q_top_categories(spark, sf):
     return B.top_categories(CU.fact(spark, sf), CU.curated(spark, sf).dim_product, 10)
+
+
+# ---- step 5: quality gate, validations -------------------------------------
+from tidemark.operators import quality as Q  # noqa: E402
+from tidemark.plans import pipeline as P  # noqa: E402
+from tidemark.session import scratch_path  # noqa: E402
+from tidemark.sources.tables import VersionedTable  # noqa: E402
+
+DQ_COLUMNS = ["rule_index", "rule", "outcome", "passed", "observed", "message"]
+
+
+@query("dq_fact_rules")
+def q_dq_rules(spark, sf):
+    return Q.evaluate(spark, CU.fact(spark, sf), Q.fact_ruleset()).select(*DQ_COLUMNS)
+
+
+@query("dq_score")
+def q_dq_score(spark, sf):
+    return Q.score(Q.evaluate(spark, CU.fact(spark, sf), Q.fact_ruleset()))
+
+
+@query("dq_raw_lineitem")
+def q_dq_raw(spark, sf):
+    raw = X.read_table(spark, sf, "lineitem")
+    rules = [Q.IsPrimaryKey(("l_orderkey", "l_linenumber")), Q.Uniqueness(("l_orderkey", "l_linenumber"), "=", 1.0)]
+    return Q.evaluate(spark, raw, rules).select(*DQ_COLUMNS)
+
+
+VALIDATIONS = [
+    ("orphan_customer_keys",
+     "SELECT f.order_id FROM {fact} f LEFT ANTI JOIN {dim_customer} d ON d.customer_key = f.customer_key"),
+    ("one_current_version",
+     "SELECT customer_id FROM {dim_customer} WHERE is_current GROUP BY customer_id HAVING count(*) > 1"),
+    ("calendar_covers_orders",
+     "SELECT f.order_id FROM {fact} f LEFT ANTI JOIN {dim_date} d ON d.date_key = to_date(f.order_ts)"),
+    ("delivered_lines",
+     "SELECT order_id FROM {fact} WHERE delivered_ts IS NOT NULL"),
+]
+
+
+@query("validations")
+def q_validations(spark, sf):
+    c = CU.curated(spark, sf)
+    return P.run_validations(spark, VALIDATIONS, fact=CU.fact(spark, sf), dim_customer=c.dim_customer,
+                             dim_date=c.dim_date)
+
+
+@query("publish_blocked")
+def q_publish_blocked(spark, sf):
+    """The 13-rule gate on the test fact (its volumes and prices do not meet
+    thresholds set for other data): the staged version is not published."""
+    table = VersionedTable(spark, scratch_path(spark, "fact_gate"))
+    row = P.run_pipeline(spark, lambda: CU.fact(spark, sf), Q.fact_ruleset(), table, run_id="gate-check")
+    return row.select("run_id", "outcome", "score", "failed_rules", "version")
+
+
+# ---- step 6: profiles and metrics --------------------------------------------
+from tidemark.operators import profile as PR  # noqa: E402
+from tidemark.plans import metrics as M  # noqa: E402
+
+FRESHNESS_NOW = "2024-02-01 00:00:00"
+
+
+@query("profile_tables")
+def q_profile_tables(spark, sf):
+    return PR.profile_dir(spark, sf)
+
+
+def curated_tables(spark, sf):
+    c = CU.curated(spark, sf)
+    return {"fact_order_item": CU.fact(spark, sf), "dim_customer": c.dim_customer,
+            "dim_product": c.dim_product, "dim_date": c.dim_date}
+
+
+@query("row_counts")
+def q_row_counts(spark, sf):
+    return M.with_total(M.row_counts(curated_tables(spark, sf)))
+
+
+@query("orphan_rows")
+def q_orphans(spark, sf):
+    t = curated_tables(spark, sf)
+    f = t["fact_order_item"]
+    cust = M.orphans(f, t["dim_customer"], "customer_key").select(F.lit("dim_customer").alias("dimension"), "orphan_rows")
+    prod = M.orphans(f, t["dim_product"], "product_id").select(F.lit("dim_product").alias("dimension"), "orphan_rows")
+    return cust.unionByName(prod)
+
+
+def load_run_log(spark, sf):
+    """The replayed loads as a run log: one successful run per change batch,
+    from its first to its last change time."""
+    parts = []
+    for i, b in enumerate(CU.curated(spark, sf).change_batches):
+        parts.append(b.agg(F.min("dms_ts").alias("started_at"), F.max("dms_ts").alias("finished_at")).select(
+            F.lit(f"load-{i}").alias("run_id"), F.lit("ok").alias("outcome"), "started_at", "finished_at"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("freshness")
+def q_freshness(spark, sf):
+    return M.freshness(load_run_log(spark, sf), FRESHNESS_NOW)
+
+
+@query("scan_cost")
+def q_scan_cost(spark, sf):
+    """Bytes and price of a full scan of every driver table, newest 50."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf)
+             .select(F.col("path").alias("query_id"), F.col("modificationTime").alias("submitted_at"),
+                     F.col("length").alias("scanned_bytes")))
+    return M.scan_cost(files, 50)
+
+
+# ---- step 8: governance -------------------------------------------------------
+from tidemark.operators import govern as G  # noqa: E402
+
+ROLE_SQLS = [
+    "SELECT * FROM {customer_pii}",
+    "SELECT customer_id, email FROM {customer_pii}",
+    "SELECT province, count(*) AS rows_visible FROM {customer_pii} GROUP BY province",
+]
+SHARED = ["fact_order_item", "dim_customer", "dim_product", "dim_date"]
+
+
+def pii_table(spark, sf):
+    return G.synth_pii(G.current_customers(CU.curated(spark, sf).dim_customer))
+
+
+def gov_tables(spark, sf):
+    return {"customer_pii": pii_table(spark, sf), **curated_tables(spark, sf)}
+
+
+@query("pii")
+def q_pii(spark, sf):
+    return pii_table(spark, sf)
+
+
+@query("pii_analyst")
+def q_pii_analyst(spark, sf):
+    reg = G.default_registry(SHARED)
+    return reg.view_for("analyst", "customer_pii", pii_table(spark, sf))
+
+
+@query("pii_rows_by_role")
+def q_pii_rows_by_role(spark, sf):
+    reg = G.default_registry(SHARED)
+    tables = {"customer_pii": pii_table(spark, sf)}
+    parts = [G.query_as(spark, reg, role, ROLE_SQLS[2], tables).withColumn("role", F.lit(role))
+             for role in ("analyst", "fraud")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("role_comparison")
+def q_role_comparison(spark, sf):
+    reg = G.default_registry(SHARED)
+    return G.compare_roles(spark, reg, ROLE_SQLS, ["analyst", "fraud"], {"customer_pii": pii_table(spark, sf)}) \
+        .drop("message")
+
+
+@query("grants")
+def q_grants(spark, sf):
+    return G.grants(G.default_registry(SHARED), gov_tables(spark, sf))
