@@ -377,3 +377,122 @@ def q_role_comparison(spark, sf):
 @query("grants")
 def q_grants(spark, sf):
     return G.grants(G.default_registry(SHARED), gov_tables(spark, sf))
+
+
+# ---- step 7: events, partitions, files, formats ---------------------------------
+from tidemark.operators.star import with_order_month  # noqa: E402
+from tidemark.sources import events as EV  # noqa: E402
+from tidemark.sources import formats as FM  # noqa: E402
+from tidemark.sources import tables as T  # noqa: E402
+
+# The hour and day the partition queries look at, the declared
+# projection (types, years, months, days, hours) and an out-of-range year.
+HOUR = {"event_type": "pos_sale", "y": "2024", "m": "01", "d": "05", "h": "13"}
+DAY = {"y": "2024", "m": "01", "d": "05"}
+REGISTERED = [HOUR, {**HOUR, "h": "14"}, {**HOUR, "event_type": "page_view"}]
+PROJ_ENUMS = {"event_type": ["pos_sale", "page_view", "inventory_move"]}
+PROJ_RANGES = {"y": (2024, 2025, 4), "m": (1, 12, 2), "d": (1, 31, 2), "h": (0, 23, 2)}
+FUTURE_RANGES = {**PROJ_RANGES, "y": (2026, 2027, 4)}
+COMPACT_TARGET_MB = 1
+
+
+def landed_events(spark, sf):
+    key = CU._memo_key(spark, "landed", sf)
+    if key not in CU._MEMO:
+        root = scratch_path(spark, "raw-events")
+        EV.land_events(X.raw_events(spark, sf), root).collect()
+        CU._MEMO[key] = root
+    return CU._MEMO[key]
+
+
+def pos_totals(df):
+    return df.agg(F.count("*").alias("events"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("decimal(18,2)")
+                  .alias("amount"))
+
+
+def where_spec(df, spec):
+    for k, v in spec.items():
+        df = df.where(F.col(k) == v)
+    return df
+
+
+@query("events_flat")
+def q_events_flat(spark, sf):
+    return pos_totals(EV.read_events_flat(spark, landed_events(spark, sf)).where(F.col("event_type") == "pos_sale"))
+
+
+@query("events_one_hour_paths")
+def q_events_hour_paths(spark, sf):
+    return pos_totals(where_spec(EV.read_events_paths(spark, landed_events(spark, sf)), HOUR))
+
+
+@query("events_registered")
+def q_events_registered(spark, sf):
+    root = landed_events(spark, sf)
+    name = "events_manual_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    EV.create_events_table(spark, name, root)
+    EV.add_partitions(spark, name, REGISTERED, root)
+    return spark.table(name).groupBy("event_type", "h").agg(
+        F.count("*").alias("events"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("decimal(18,2)").alias("amount"))
+
+
+@query("events_projected")
+def q_events_projected(spark, sf):
+    return pos_totals(EV.read_projected(spark, landed_events(spark, sf), PROJ_ENUMS, PROJ_RANGES, HOUR))
+
+
+@query("events_by_type")
+def q_events_by_type(spark, sf):
+    day = EV.read_projected(spark, landed_events(spark, sf), PROJ_ENUMS, PROJ_RANGES, DAY)
+    return day.groupBy("event_type").agg(F.count("*").alias("events"))
+
+
+@query("events_out_of_range")
+def q_events_out_of_range(spark, sf):
+    df = EV.read_projected(spark, landed_events(spark, sf), PROJ_ENUMS, FUTURE_RANGES, {"y": "2026"})
+    return df.select("event_id", "event_type", "amount")
+
+
+def optimized_events(spark, sf):
+    key = CU._memo_key(spark, "optimized", sf)
+    if key not in CU._MEMO:
+        CU._MEMO[key] = EV.optimize_events(EV.read_events_flat(spark, landed_events(spark, sf)),
+                                           scratch_path(spark, "events-parquet"))
+    return CU._MEMO[key]
+
+
+@query("events_parquet")
+def q_events_parquet(spark, sf):
+    return optimized_events(spark, sf)
+
+
+@query("file_inventory")
+def q_file_inventory(spark, sf):
+    return T.file_inventory(optimized_events(spark, sf))
+
+
+def written_fact(spark, sf):
+    key = CU._memo_key(spark, "written_fact", sf)
+    if key not in CU._MEMO:
+        path = scratch_path(spark, "fact")
+        with_order_month(CU.fact(spark, sf)).write.partitionBy("order_month").parquet(path)
+        CU._MEMO[key] = path
+    return CU._MEMO[key]
+
+
+@query("compacted")
+def q_compacted(spark, sf):
+    return T.compact(spark, written_fact(spark, sf), scratch_path(spark, "fact-compacted"),
+                     COMPACT_TARGET_MB, ["order_month"])
+
+
+@query("format_sizes")
+def q_format_sizes(spark, sf):
+    c = CU.curated(spark, sf)
+    joined = c.orders.join(c.items, "order_id")
+    return FM.format_sizes(joined, scratch_path(spark, "formats"))
+
+
+@query("seeded_sample")
+def q_seeded_sample(spark, sf):
+    return R.seeded_sample(CU.curated(spark, sf).cleansed_states[3], "customer_id", 50, SAMPLE_SEED)
