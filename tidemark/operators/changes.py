@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cleanse import blank_to_null, map_province
 from tidemark.operators.relational import pick_max
+from tidemark.session import materialize
 
 # Primary key of each source table.
 TABLE_KEYS = {
@@ -178,7 +179,7 @@ def delete_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
 
 def replay(target: DataFrame | None, batches: Sequence[DataFrame], pk: Sequence[str],
            checkpoint: bool = True) -> list[DataFrame]:
-    """States after each batch.  Each state is checkpointed to the shared
+    """States after each batch.  Each state is written to the shared work
     folder so that lineage stays one batch deep (and survives executor loss).
     ``target=None`` means the first batch is the initial load."""
     states = []
@@ -187,6 +188,6 @@ def replay(target: DataFrame | None, batches: Sequence[DataFrame], pk: Sequence[
         latest = prepare(b, pk)
         state = initial_load(latest) if state is None else apply_changes(state, latest, pk)
         if checkpoint:
-            state = state.checkpoint(eager=True)
+            state = materialize(state, "cleansed")
         states.append(state)
     return states

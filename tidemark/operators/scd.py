@@ -23,6 +23,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType,
 
 from tidemark.functions.exprs import attr_hash, surrogate_key
 from tidemark.operators.relational import dedupe, where_key_in
+from tidemark.session import materialize
 
 DIM_CUSTOMER_SCHEMA = StructType([
     StructField("customer_key", StringType()),
@@ -100,14 +101,14 @@ def scd2_apply(dim: DataFrame, src: DataFrame, run_ts: str, key: str = "customer
 
 def scd2_runs(spark: SparkSession, sources: Sequence[DataFrame], run_ts: Sequence[str],
               dim: DataFrame | None = None, checkpoint: bool = True, **kw) -> list[DataFrame]:
-    """Apply several runs in order; each result is checkpointed to the shared
-    folder so that lineage does not grow with the number of runs."""
+    """Apply several runs in order; each result is written to the shared
+    work folder so that lineage does not grow with the number of runs."""
     out = []
     dim = empty_dim(spark) if dim is None else dim
     for src, ts in zip(sources, run_ts):
         dim = scd2_apply(dim, src, ts, **kw)
         if checkpoint:
-            dim = dim.checkpoint(eager=True)
+            dim = materialize(dim, "dim_customer")
         out.append(dim)
     return out
 

@@ -475,7 +475,7 @@ def written_fact(spark, sf):
     key = CU._memo_key(spark, "written_fact", sf)
     if key not in CU._MEMO:
         path = scratch_path(spark, "fact")
-        with_order_month(CU.fact(spark, sf)).write.partitionBy("order_month").parquet(path)
+        T.write_fact(with_order_month(CU.fact(spark, sf)), path)
         CU._MEMO[key] = path
     return CU._MEMO[key]
 
@@ -496,3 +496,34 @@ def q_format_sizes(spark, sf):
 @query("seeded_sample")
 def q_seeded_sample(spark, sf):
     return R.seeded_sample(CU.curated(spark, sf).cleansed_states[3], "customer_id", 50, SAMPLE_SEED)
+
+
+# ---- streaming --------------------------------------------------------------------
+from tidemark.streaming import changes as ST  # noqa: E402
+
+
+def landed_changes(spark, sf):
+    """Change files landed in load order (full load, batch 1, 2, 3)."""
+    key = CU._memo_key(spark, "landed_changes", sf)
+    if key not in CU._MEMO:
+        folder = scratch_path(spark, "cdc-files")
+        for b in CU.curated(spark, sf).change_batches:
+            b.write.mode("append").parquet(folder)
+        CU._MEMO[key] = folder
+    return CU._MEMO[key]
+
+
+@query("cdc_stream")
+def q_cdc_stream(spark, sf):
+    folder = landed_changes(spark, sf)
+    schema = spark.read.parquet(folder).schema
+    table = VersionedTable(spark, scratch_path(spark, "customers-stream"))
+    ST.apply_stream(spark, folder, schema, table, CUSTOMER_PK, scratch_path(spark, "cdc-checkpoint"))
+    return table.read()
+
+
+@query("events_stream")
+def q_events_stream(spark, sf):
+    out = scratch_path(spark, "events-stream")
+    ST.optimize_events_stream(spark, landed_events(spark, sf), out, scratch_path(spark, "events-checkpoint"))
+    return spark.read.parquet(out)

@@ -85,3 +85,14 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared work folder and read it back.
+
+    Cuts the lineage (later plans start from files, and a lost executor does
+    not force recomputation of the whole history) at the cost of one write;
+    unlike an RDD checkpoint the plan is computed only once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
