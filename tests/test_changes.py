@@ -99,3 +99,37 @@ def test_update_delete_upsert(spark):
     merged = C.upsert(df, src, ["k"])
     assert merged.count() == merged.select("k").distinct().count() == 4
     assert {r["k"]: r["v"] for r in merged.collect()}["2"] == "B"
+
+
+def test_upsert_rewrites_only_touched_partitions_and_moves_rows(spark, tmp_dir):
+    import os
+
+    from tidemark.sources.tables import upsert_partitions
+    path = tmp_dir + "/fact"
+    df = spark.createDataFrame([("1", 1, "a", "2024-01"), ("2", 1, "b", "2024-01"), ("3", 1, "c", "2024-02"),
+                                ("4", 1, "d", "2024-03")], "order_id string, order_item_id int, v string, order_month string")
+    df.write.partitionBy("order_month").parquet(path)
+    untouched = sorted(os.listdir(path + "/order_month=2024-02"))
+    src = spark.createDataFrame([("1", 1, "A", "2024-03"), ("4", 1, "D", "2024-04"), ("5", 1, "e", "2024-01")],
+                                "order_id string, order_item_id int, v string, order_month string")
+    touched = sorted(r[0] for r in upsert_partitions(spark, path, src, ["order_id", "order_item_id"],
+                                                     "order_month").collect())
+    assert touched == ["2024-01", "2024-03", "2024-04"]
+    got = sorted((r["order_id"], r["v"], r["order_month"]) for r in spark.read.parquet(path).collect())
+    assert got == [("1", "A", "2024-03"), ("2", "b", "2024-01"), ("3", "c", "2024-02"), ("4", "D", "2024-04"),
+                   ("5", "e", "2024-01")]
+    assert sorted(os.listdir(path + "/order_month=2024-02")) == untouched   # not rewritten
+
+
+def test_seed_csv_and_csv_table(spark, tmp_dir):
+    from tidemark.sources.files import read_csv_table, read_seed_csv, write_csv
+    p = tmp_dir + "/items.csv"
+    with open(p, "w") as fh:
+        fh.write('order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n'
+                 '"o1",1,"p\nx",s,2024-01-01 10:00:00,10.50,\n')
+    df = read_seed_csv(spark, p, "order_items")
+    r = df.first()
+    assert (r["product_id"], str(r["price"]), r["freight_value"]) == ("p\nx", "10.50", None)
+    write_csv(df, tmp_dir + "/out")
+    back = read_csv_table(spark, tmp_dir + "/out", df.schema)
+    assert back.count() == 1 and back.first()["product_id"] == "p\nx"

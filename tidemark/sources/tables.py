@@ -139,6 +139,40 @@ def rewrite_partitions(spark: SparkSession, new_state: DataFrame, table: Version
     return table.replace(kept.unionByName(changed))
 
 
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                      part_col: str) -> DataFrame:
+    """Full-row upsert into a partitioned Parquet folder that rewrites only
+    the touched partitions (C4).
+
+    Touched = the partitions of the incoming rows plus the partitions where
+    their keys live today, so a row whose month changed leaves its old
+    month.  The new content of those partitions is first written to the
+    shared work folder (the table cannot be overwritten while it is read),
+    then swapped in with dynamic partition overwrite; a touched partition
+    left with no rows is removed.  Returns the touched partition values.
+    Plain files give no multi-partition atomicity; a table format with MERGE
+    does, when one is configured."""
+    from tidemark.operators.changes import upsert
+    from tidemark.session import materialize
+
+    target = spark.read.parquet(path)
+    old_parts = target.join(source.select(*keys).distinct(), list(keys), "left_semi").select(part_col)
+    touched = materialize(source.select(part_col).unionByName(old_parts).distinct(), "touched")
+    affected = target.join(F.broadcast(touched), part_col, "left_semi")
+    new_rows = materialize(upsert(affected, source.select(*target.columns), keys), "upserted")
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        new_rows.write.mode("overwrite").partitionBy(part_col).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    emptied = touched.join(new_rows.select(part_col).distinct(), part_col, "left_anti").collect()
+    for r in emptied:  # bounded by the number of touched partitions
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{part_col}={r[part_col]}")
+        fs.delete(p, True)
+    return touched
+
+
 def write_fact(df: DataFrame, path: str, part_col: str = "order_month", mode: str = "error") -> None:
     """Month-partitioned fact write (S9).  ``rebalance`` on the partition
     column gives about one file per month per advisory size: adaptive
