@@ -82,3 +82,20 @@ def scan_cost(query_log: DataFrame, last_n: int = 50, usd_per_tib: float = USD_P
         F.count("*").alias("queries"),
         F.coalesce(F.sum("scanned_bytes"), F.lit(0)).cast("long").alias("scanned_bytes"),
     ).withColumn("cost_usd", F.round(F.col("scanned_bytes") / F.lit(TIB) * F.lit(usd_per_tib), 6))
+
+
+def health_metrics(fact: DataFrame, dims: Mapping[str, DataFrame], dim_customer: DataFrame,
+                   measured_at: str) -> DataFrame:
+    """Row counts per table, versioned customers and orphan fact rows as
+    metric records (M1-M3 in the M8 shape)."""
+    parts = []
+    for name, df in {"fact_order_item": fact, **dims}.items():
+        parts.append(df.agg(metric("CuratedRowCount", F.count("*"), "Count", {"Table": name}, measured_at).alias("m")))
+    versioned = dim_customer.groupBy("customer_id").count().where(F.col("count") > 1)
+    parts.append(versioned.agg(metric("Scd2VersionedCustomers", F.count("*"), "Count", None, measured_at).alias("m")))
+    orphan = orphans(fact, dim_customer, "customer_key")
+    parts.append(orphan.select(metric("OrphanFactRows", F.col("orphan_rows"), "Count", None, measured_at).alias("m")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("m.*")

@@ -527,3 +527,32 @@ def q_events_stream(spark, sf):
     out = scratch_path(spark, "events-stream")
     ST.optimize_events_stream(spark, landed_events(spark, sf), out, scratch_path(spark, "events-checkpoint"))
     return spark.read.parquet(out)
+
+
+# ---- more metrics ------------------------------------------------------------------
+RULE_LOG_TS = ("2024-02-01 06:00:00", "2024-02-02 06:00:00")
+
+
+def rule_log(spark, sf):
+    """The 13-rule evaluation of two fact builds (as-of keys, then current
+    keys) as a rule-result log."""
+    parts = []
+    for i, mode in enumerate(("as_of", "current")):
+        res = Q.evaluate(spark, CU.fact(spark, sf, key_mode=mode), Q.fact_ruleset())
+        parts.append(res.select(F.lit(f"dq-{i + 1}").alias("run_id"),
+                                F.lit(RULE_LOG_TS[i]).cast("timestamp").alias("evaluated_at"), "rule", "passed"))
+    return parts[0].unionByName(parts[1])
+
+
+@query("latest_score")
+def q_latest_score(spark, sf):
+    return M.latest_score(rule_log(spark, sf))
+
+
+@query("health_metrics")
+def q_health_metrics(spark, sf):
+    t = curated_tables(spark, sf)
+    recs = M.health_metrics(t["fact_order_item"], {k: v for k, v in t.items() if k != "fact_order_item"},
+                            t["dim_customer"], FRESHNESS_NOW)
+    return recs.select("metric", "value", "unit", F.coalesce(F.col("dims")["Table"], F.lit("")).alias("table_dim"),
+                       "measured_at")

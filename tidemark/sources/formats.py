@@ -35,7 +35,7 @@ def format_available(spark: SparkSession, fmt: str) -> bool:
         return False
 
 
-def format_sizes(df: DataFrame, out_dir: str) -> DataFrame:
+def format_sizes(df: DataFrame, out_dir: str, report_path: str | None = None) -> DataFrame:
     """Write every variant under ``out_dir/<label>`` and report
     ``(format, bytes, pct_of_csv)``; unavailable formats get NULL bytes."""
     spark = df.sparkSession
@@ -54,4 +54,8 @@ def format_sizes(df: DataFrame, out_dir: str) -> DataFrame:
         sizes = sizes.unionByName(p)
     # The report has one row per format: a window over it is a handful of rows.
     csv_bytes = F.max(F.when(F.col("format") == "csv", F.col("bytes"))).over(Window.partitionBy())
-    return sizes.select("format", "bytes", F.round(F.col("bytes") * 100.0 / csv_bytes, 1).alias("pct_of_csv"))
+    report = sizes.select("format", "bytes", F.round(F.col("bytes") * 100.0 / csv_bytes, 1).alias("pct_of_csv"))
+    if report_path:
+        from tidemark.sources.files import write_report
+        write_report(report, report_path)
+    return report
