@@ -24,6 +24,7 @@ from tidemark.plans import business as B  # noqa: E402
 from tidemark.plans import curated as CU  # noqa: E402
 from tidemark.session import build_session, scratch_path  # noqa: E402
 from tidemark.sources import fixtures as X  # noqa: E402
+from tidemark.sources.formats import format_sizes  # noqa: E402
 from tidemark.sources.tables import file_inventory, write_fact  # noqa: E402
 
 
@@ -93,6 +94,12 @@ def main() -> None:
     inv_month = file_inventory(month_files).first()
     month.collect()
 
+    # 5. bytes per format of orders x items (reported, not counted in the total)
+    t0 = time.perf_counter()
+    sizes = format_sizes(cur.orders.join(cur.items, "order_id"), scratch_path(spark, "bench-formats"))
+    format_bytes = {r["format"]: r["bytes"] for r in sizes.collect()}
+    format_sec = time.perf_counter() - t0
+
     total = sum(v for k, v in times.items())
     out = {
         "metric": "total_query_seconds",
@@ -106,6 +113,8 @@ def main() -> None:
         "fact_mb": inv_full["total_mb"],
         "month_files": inv_month["files"],
         "month_mb": inv_month["total_mb"],
+        "format_bytes": format_bytes,
+        "format_sizes_sec": round(format_sec, 3),
     }
     print(json.dumps(out))
 

@@ -28,22 +28,25 @@ def month_bounds_filter(fact: DataFrame, lo: str | None, hi: str | None) -> Data
         if lo is not None:
             out = out.where(m >= F.lit(lo[:7]))
         if hi is not None:
-            out = out.where(m <= F.lit(hi[:7]))
+            # an upper bound at the first instant of a month excludes that month
+            starts_month = hi[8:].strip("0: ") in ("1", "") and hi[8:10] == "01"
+            out = out.where(m < F.lit(hi[:7]) if starts_month else m <= F.lit(hi[:7]))
     return out
 
 
-def clv_by_cohort(fact: DataFrame, dim: DataFrame, min_customers: int = 20, n: int = 50) -> DataFrame:
+def clv_by_cohort(fact: DataFrame, dim: DataFrame, min_customers: int = 20, n: int = 50,
+                  key: str = "customer_id") -> DataFrame:
     """Lifetime value by acquisition month and province (B1).
 
     First order, lifetime value and order count come from one aggregate per
-    customer, then one join with the current versions."""
-    per_customer = fact.groupBy("customer_id").agg(
+    customer (``key``), then one join with the current versions."""
+    per_customer = fact.groupBy(key).agg(
         F.min("order_ts").alias("acquired_ts"),
         F.sum("line_total").alias("lifetime_value"),
         F.count_distinct("order_id").alias("orders"),
     )
-    current = dim.where(F.col("is_current")).select("customer_id", "province")
-    cohort = per_customer.join(current, "customer_id").select(
+    current = dim.where(F.col("is_current")).select(key, "province")
+    cohort = per_customer.join(current, key).select(
         F.date_format("acquired_ts", "yyyy-MM").alias("cohort_month"), "province",
         "lifetime_value", "orders")
     agg = cohort.groupBy("cohort_month", "province").agg(
