@@ -49,6 +49,8 @@ def land_events(df: DataFrame, root: str) -> DataFrame:
 
     Stands in for the stream producer: every task writes its own small files
     for the hours it holds (no shuffle, so a hot hour is never one task).
+    File names are fixed per input split and written via a temporary file
+    and an atomic replace, so task retries do not duplicate events.
     Needs ``root`` on a file system mounted on every executor.  Returns one
     row with the number of files and rows written."""
     cols = [f.name for f in EVENT_SCHEMA.fields]
@@ -57,16 +59,21 @@ def land_events(df: DataFrame, root: str) -> DataFrame:
     def write(batches):
         import pandas as pd
         from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        pid, attempt = ctx.partitionId(), ctx.attemptNumber()
         files = rows = 0
-        for pdf in batches:
+        for b, pdf in enumerate(batches):
             for key, g in pdf.groupby(PART_COLS, sort=False):
                 folder = os.path.join(base, *key)
                 os.makedirs(folder, exist_ok=True)
-                path = os.path.join(folder, f"part-{pid:05d}-{uuid.uuid4().hex}.json.gz")
+                # the name depends only on the input split, so a retried or
+                # speculative task replaces its own file instead of adding one
+                name = f"part-{pid:05d}-{b:04d}.json.gz"
+                tmp = os.path.join(folder, f".{name}.{attempt}-{uuid.uuid4().hex}.tmp")
                 body = g[cols].to_json(orient="records", lines=True, double_precision=15)
-                with gzip.open(path, "wt", encoding="utf-8") as fh:
+                with gzip.open(tmp, "wt", encoding="utf-8") as fh:
                     fh.write(body)
+                os.replace(tmp, os.path.join(folder, name))
                 files += 1
                 rows += len(g)
         yield pd.DataFrame({"files": [files], "rows": [rows]})
