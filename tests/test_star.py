@@ -65,3 +65,24 @@ def test_round_ratio_half_up_exact(spark):
     got2 = [str(r[0]) for r in spark.createDataFrame([(29, 200)], "n long, d long")
             .select(round_ratio("n", "d", 2)).collect()]
     assert got2 == ["0.15"]      # 0.145 rounds up (a double would give 0.14)
+
+
+def test_every_region_code_maps(spark):
+    from tidemark.functions.cleanse import STATE_TO_PROVINCE, province_of
+    codes = list(STATE_TO_PROVINCE) + ["XX", None]
+    df = spark.createDataFrame([(c,) for c in codes], "s string")
+    got = [r[0] for r in df.select(province_of("s")).collect()]
+    assert got == list(STATE_TO_PROVINCE.values()) + ["ON", "ON"]
+
+
+def test_missing_product_drops_sales_and_shows_as_orphan(spark):
+    from tidemark.plans import business as B
+    from tidemark.plans import metrics as M
+    t = dt.datetime
+    fact = spark.createDataFrame([("o1", "p1", t(2024, 1, 1), D("10.00")), ("o2", "p2", t(2024, 1, 1), D("5.00"))],
+                                 "order_id string, product_id string, order_ts timestamp, line_total decimal(10,2)")
+    product = spark.createDataFrame([("p1", "toys")], "product_id string, category string")
+    cal = build_dim_date(spark.createDataFrame([(t(2024, 1, 1),)], "order_purchase_timestamp timestamp"))
+    rows = B.sales_by_month_category(fact, product, cal, "2023-01-01 00:00:00").collect()
+    assert [(r["category"], r["units"]) for r in rows] == [("toys", 1)]          # p2's sale is dropped
+    assert M.orphans(fact, product, "product_id").first()["orphan_rows"] == 1    # and counted as an orphan
