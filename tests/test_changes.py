@@ -133,3 +133,15 @@ def test_seed_csv_and_csv_table(spark, tmp_dir):
     write_csv(df, tmp_dir + "/out")
     back = read_csv_table(spark, tmp_dir + "/out", df.schema)
     assert back.count() == 1 and back.first()["product_id"] == "p\nx"
+
+
+def test_broadcast_and_shuffle_paths_agree(spark):
+    base = C.initial_load(C.prepare(spark.createDataFrame(
+        [(str(i), "a", "SP", "I", ts(0)) for i in range(50)], SCHEMA), PK))
+    b = C.prepare(spark.createDataFrame([("1", "x", "SP", "U", ts(1)), ("2", None, None, "D", ts(1)),
+                                         ("77", "n", "SP", "I", ts(1)), ("3", "y", "SP", None, ts(1))], SCHEMA), PK)
+    small = C.apply_changes(base, b, PK, broadcast_keys=True)
+    big = C.apply_changes(base, b, PK, broadcast_keys=False)
+    assert rows(small) == rows(big) and len(rows(small)) == 50
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleanse import blank_to_null, map_province
-from tidemark.operators.relational import pick_max
+from tidemark.operators.relational import BROADCAST_LIMIT_BYTES, estimated_bytes, pick_max
 from tidemark.session import materialize
 
 # Primary key of each source table.
@@ -129,8 +129,25 @@ def merge_plan(target: DataFrame, latest: DataFrame, pk: Sequence[str],
 
 
 def apply_changes(target: DataFrame, latest: DataFrame, pk: Sequence[str],
-                  ignore_stale: bool = False) -> DataFrame:
-    """New table state after one batch."""
+                  ignore_stale: bool = False, broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+                  broadcast_keys: bool | None = None) -> DataFrame:
+    """New table state after one batch.
+
+    When the batch's estimated size is under ``broadcast_limit`` its keys are
+    broadcast: rows the batch does not touch stream through without any
+    shuffle, and only the touched rows meet the batch in the merge join.  A
+    large batch takes one full outer join of table and batch instead.
+    ``broadcast_keys`` forces either plan (the caller knows the batch size)."""
+    if broadcast_keys is None:
+        size = estimated_bytes(latest)
+        broadcast_keys = size is not None and size <= broadcast_limit
+    if broadcast_keys:
+        keys = F.broadcast(latest.select(*pk))
+        untouched = target.join(keys, list(pk), "left_anti")
+        touched = target.join(keys, list(pk), "left_semi")
+        plan = merge_plan(touched, latest, pk, ignore_stale)
+        merged = plan.where(F.col("_action").isin(*LIVE_ACTIONS)).drop("_action")
+        return untouched.unionByName(merged)
     plan = merge_plan(target, latest, pk, ignore_stale)
     return plan.where(F.col("_action").isin(*LIVE_ACTIONS)).drop("_action")
 
