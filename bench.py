@@ -58,7 +58,7 @@ def main() -> None:
     states = C.replay(None, batches, pk)
     times["cdc_replay_4_loads"] = time.perf_counter() - t0
     t0 = time.perf_counter()
-    dims = scd.scd2_runs(spark, [scd.customer_source(s) for s in states], X.RUN_TS)
+    dims = CU.incremental_scd2(spark, batches, states)
     times["scd2_4_runs"] = time.perf_counter() - t0
     times["apply_changes_1_batch"] = timed(lambda: run_all(C.apply_changes(states[2], C.prepare(batches[3], pk), pk)))
     times["scd2_apply_1_run"] = timed(lambda: run_all(scd.scd2_apply(dims[2], scd.customer_source(states[3]),

@@ -86,3 +86,20 @@ def test_as_of_plan_is_not_a_nested_loop(spark):
     f = spark.createDataFrame([("1", dt.datetime(2020, 1, 5))], "customer_id string, order_ts timestamp")
     plan = scd.join_as_of(f, d, "order_ts")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_partial_source_equals_full_snapshot(spark):
+    import pytest
+    full = dims(spark, SNAPS)[-1]
+    srcs = [scd.customer_source(spark.createDataFrame(s, SRC)) for s in SNAPS]
+    d = scd.scd2_apply(scd.empty_dim(spark), srcs[0], RUNS[0])
+    touched = [["1", "3"], ["1", "5"]]        # keys each later batch touched (4 was deleted: untouched)
+    for k, keys in enumerate(touched, start=1):
+        part = srcs[k].where(F.col("customer_id").isin(*keys))
+        for bk in (True, False):
+            alt = scd.scd2_apply(d, part, RUNS[k], src_is_complete=False, broadcast_keys=bk)
+            assert alt.count() == scd.scd2_apply(d, srcs[k], RUNS[k]).count()
+        d = scd.scd2_apply(d, part, RUNS[k], src_is_complete=False, broadcast_keys=True)
+    assert sorted(map(tuple, d.collect())) == sorted(map(tuple, full.collect()))
+    with pytest.raises(ValueError):
+        scd.scd2_apply(d, srcs[0], RUNS[0], src_is_complete=False, on_source_delete="close")

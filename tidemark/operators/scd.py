@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
 
 from tidemark.functions.exprs import attr_hash, surrogate_key
-from tidemark.operators.relational import dedupe, where_key_in
+from tidemark.operators.relational import BROADCAST_LIMIT_BYTES, dedupe, estimated_bytes, where_key_in
 from tidemark.session import materialize
 
 DIM_CUSTOMER_SCHEMA = StructType([
@@ -56,14 +56,31 @@ def empty_dim(spark: SparkSession) -> DataFrame:
 
 
 def scd2_apply(dim: DataFrame, src: DataFrame, run_ts: str, key: str = "customer_id",
-               tracked: Sequence[str] = TRACKED, on_source_delete: str = "keep") -> DataFrame:
-    """One SCD2 run: untouched history + (current versions full-outer source)."""
+               tracked: Sequence[str] = TRACKED, on_source_delete: str = "keep",
+               src_is_complete: bool = True, broadcast_keys: bool | None = None) -> DataFrame:
+    """One SCD2 run: untouched history + (current versions full-outer source).
+
+    ``src_is_complete=False`` means ``src`` holds only the customers touched
+    since the last run (their new state); everyone else keeps the current
+    version, which is exactly the ``keep`` rule for absent customers.  Then,
+    when the touched set is small (or ``broadcast_keys``), its keys are
+    broadcast and untouched current versions are not shuffled at all."""
     if on_source_delete not in ("keep", "close", "delete"):
         raise ValueError(f"on_source_delete must be keep, close or delete, not {on_source_delete!r}")
+    if not src_is_complete and on_source_delete != "keep":
+        raise ValueError("a partial source cannot tell deleted customers from untouched ones")
     run = F.lit(run_ts).cast("timestamp")
     cols = [f.name for f in DIM_CUSTOMER_SCHEMA.fields]
     history = dim.where(~F.col("is_current"))
     current = dim.where(F.col("is_current"))
+    if not src_is_complete:
+        if broadcast_keys is None:
+            size = estimated_bytes(src)
+            broadcast_keys = size is not None and size <= BROADCAST_LIMIT_BYTES
+        if broadcast_keys:
+            keys = F.broadcast(src.select(key))
+            history = history.unionByName(current.join(keys, key, "left_anti").select(*cols))
+            current = current.join(keys, key, "left_semi")
 
     c = current.select(*[F.col(x).alias(f"_c_{x}") for x in cols])
     s = src.select(F.col(key).alias("_s_key"), *[F.col(t).alias(f"_s_{t}") for t in tracked],

@@ -48,6 +48,23 @@ def change_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [X.customer_full_load(spark, sf_dir)] + batches
 
 
+def incremental_scd2(spark: SparkSession, batches: list[DataFrame], states: list[DataFrame]) -> list[DataFrame]:
+    """SCD2 runs after each load.  The first run sees the whole table; later
+    runs see only the customers their batch touched (in their new state),
+    so untouched customers are neither compared nor shuffled."""
+    dims = []
+    dim = scd.empty_dim(spark)
+    for k, (batch, state) in enumerate(zip(batches, states)):
+        if k == 0:
+            dim = scd.scd2_apply(dim, scd.customer_source(state), X.RUN_TS[k])
+        else:
+            touched = state.join(batch.select("customer_id").distinct(), "customer_id", "left_semi")
+            dim = scd.scd2_apply(dim, scd.customer_source(touched), X.RUN_TS[k], src_is_complete=False)
+        dim = materialize(dim, "dim_customer")
+        dims.append(dim)
+    return dims
+
+
 def curated(spark: SparkSession, sf_dir: str) -> Curated:
     key = _memo_key(spark, "curated", sf_dir)
     if key in _MEMO:
@@ -55,8 +72,7 @@ def curated(spark: SparkSession, sf_dir: str) -> Curated:
     work_dir(spark)  # make sure checkpoints have a shared folder
     batches = change_batches(spark, sf_dir)
     states = C.replay(None, batches, CUSTOMER_PK)
-    sources = [scd.customer_source(s) for s in states]
-    dims = scd.scd2_runs(spark, sources, X.RUN_TS)
+    dims = incremental_scd2(spark, batches, states)
     orders = X.orders(spark, sf_dir)
     out = Curated(
         change_batches=batches,
