@@ -52,21 +52,24 @@ def build_dim_date(orders: DataFrame, ts: str = "order_purchase_timestamp") -> D
     )
 
 
-def fact_lines(items: DataFrame, orders: DataFrame, as_of: str) -> DataFrame:
-    """Order lines joined to their order (inner: lines without an order vanish)
-    with the derived measures.  ``as_of`` is the run's "now" for ``at_risk``."""
-    o = orders.select(
+def order_header(orders: DataFrame) -> DataFrame:
+    """The order columns the fact needs, with zone-less times made UTC."""
+    return orders.select(
         "order_id", "customer_id", "order_status",
         to_ts("order_purchase_timestamp").alias("order_ts"),
         to_ts("order_delivered_customer_date").alias("delivered_ts"),
         to_ts("order_estimated_delivery_date").alias("estimated_delivery"),
     )
+
+
+def _lines(items: DataFrame, header: DataFrame, as_of: str) -> DataFrame:
+    extra = [c for c in header.columns if c == "customer_key"]
     j = items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value") \
-        .join(o, "order_id")
+        .join(header, "order_id")
     now = F.lit(as_of).cast("timestamp")
     delivered, promised = F.col("delivered_ts"), F.col("estimated_delivery")
     return j.select(
-        "order_id", F.col("order_item_id").cast("int").alias("order_item_id"), "customer_id",
+        "order_id", F.col("order_item_id").cast("int").alias("order_item_id"), *extra, "customer_id",
         "product_id", "seller_id", "order_status", "order_ts", "delivered_ts", "estimated_delivery",
         F.col("price").cast("decimal(10,2)").alias("price"),
         F.col("freight_value").cast("decimal(10,2)").alias("freight_value"),
@@ -77,21 +80,29 @@ def fact_lines(items: DataFrame, orders: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def fact_lines(items: DataFrame, orders: DataFrame, as_of: str) -> DataFrame:
+    """Order lines joined to their order (inner: lines without an order vanish)
+    with the derived measures.  ``as_of`` is the run's "now" for ``at_risk``."""
+    return _lines(items, order_header(orders), as_of)
+
+
 def build_fact(items: DataFrame, orders: DataFrame, dim_customer: DataFrame, as_of: str,
                key_mode: str = "as_of") -> DataFrame:
     """Order-line fact with the customer surrogate key.
 
     ``key_mode="as_of"``: the version valid at order time (the documented
     meaning); ``"current"``: the current version (what a plain current join
-    gives, so history moves on every run)."""
-    lines = fact_lines(items, orders, as_of)
+    gives, so history moves on every run).  The key depends only on the
+    order, so orders are keyed first and the lines join them afterwards:
+    the customer-keyed shuffle carries orders, not order lines."""
+    header = order_header(orders)
     if key_mode == "as_of":
-        keyed = join_as_of(lines, dim_customer, "order_ts")
+        keyed = join_as_of(header, dim_customer, "order_ts")
     elif key_mode == "current":
-        keyed = join_current(lines, dim_customer)
+        keyed = join_current(header, dim_customer)
     else:
         raise ValueError(f"key_mode must be 'as_of' or 'current', not {key_mode!r}")
-    return keyed.select(*FACT_COLUMNS)
+    return _lines(items, keyed, as_of).select(*FACT_COLUMNS)
 
 
 def with_order_month(fact: DataFrame) -> DataFrame:
