@@ -70,3 +70,29 @@ def test_scans_read_only_needed_columns(spark):
     from tidemark.sources import fixtures as X
     plan = X.orders(spark, SMALL).select("order_id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan
+
+
+def test_business_queries_aggregate_before_joining(spark):
+    """The fact side of every dimension join is an aggregate, not raw lines."""
+    from tidemark.plans import business as B
+    from tidemark.plans import curated as CU
+    c = CU.curated(spark, SMALL)
+    fact = CU.fact(spark, SMALL)
+    for q in (B.late_rate_by_province(fact, c.dim_customer), B.revenue_by_province(fact, c.dim_customer),
+              B.clv_by_cohort(fact, c.dim_customer, 2), B.at_risk_orders(fact, c.dim_customer, "2001-06-01")):
+        plan = q._jdf.queryExecution().optimizedPlan()
+        joins = [n for n in _nodes(plan) if n.nodeName() == "Join"]
+        assert joins
+        for j in joins:
+            assert "Aggregate" in j.left().toString().split("\n")[0], j.left().toString()[:200]
+
+
+def _nodes(plan):
+    out, stack = [], [plan]
+    while stack:
+        n = stack.pop()
+        out.append(n)
+        ch = n.children()
+        for i in range(ch.size()):
+            stack.append(ch.apply(i))
+    return out
