@@ -74,3 +74,19 @@ def test_stream_equals_batch_and_replays_are_harmless(spark, tmp_dir):
     ST.apply_stream(spark, src, schema, table, pk, tmp_dir + "/ckpt")  # second run: nothing new
     assert len(table.versions()) == n_versions
     assert ST.merge_batch(table, batches[1], pk, batch_id=0) is False  # replayed batch id: no-op
+
+
+def test_bucketed_stream_rewrites_only_touched_buckets(spark, tmp_dir):
+    from tidemark.plans.curated import change_batches
+    batches = change_batches(spark, SMALL)
+    src = tmp_dir + "/cdc"
+    pk = C.TABLE_KEYS["customers"]
+    for b in batches:
+        b.write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    path = tmp_dir + "/customers_b"
+    ST.apply_stream(spark, src, schema, path, pk, tmp_dir + "/ckpt", max_files_per_trigger=1, buckets=16)
+    expected = C.replay(None, batches, pk, checkpoint=False)[-1]
+    got = spark.read.parquet(path).drop("_bucket")
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    assert ST.merge_batch_bucketed(spark, path, batches[1], pk, 0, 16) is False     # replay: no-op

@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -139,27 +139,28 @@ def rewrite_partitions(spark: SparkSession, new_state: DataFrame, table: Version
     return table.replace(kept.unionByName(changed))
 
 
-def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                      part_col: str) -> DataFrame:
-    """Full-row upsert into a partitioned Parquet folder that rewrites only
-    the touched partitions (C4).
+def merge_into_partitions(spark: SparkSession, path: str, latest: DataFrame, keys: Sequence[str],
+                          part_col: str) -> DataFrame:
+    """Apply latest changes (with ``Op``) to a partitioned Parquet folder,
+    rewriting only the touched partitions (C3/C4 on plain files).
 
     Touched = the partitions of the incoming rows plus the partitions where
-    their keys live today, so a row whose month changed leaves its old
-    month.  The new content of those partitions is first written to the
-    shared work folder (the table cannot be overwritten while it is read),
-    then swapped in with dynamic partition overwrite; a touched partition
-    left with no rows is removed.  Returns the touched partition values.
-    Plain files give no multi-partition atomicity; a table format with MERGE
-    does, when one is configured."""
-    from tidemark.operators.changes import upsert
+    their keys live today, so a row whose partition value changed leaves its
+    old partition.  The new content of those partitions is first written to
+    the shared work folder (a table cannot be overwritten while it is read),
+    then swapped in with dynamic partition overwrite; a touched partition left
+    with no rows is removed.  Re-running the same changes converges to the
+    same table (the merge is idempotent), which is what makes a retry after
+    a failure mid-way safe; plain files give no multi-partition atomicity.
+    Returns the touched partition values."""
+    from tidemark.operators.changes import apply_changes
     from tidemark.session import materialize
 
     target = spark.read.parquet(path)
-    old_parts = target.join(source.select(*keys).distinct(), list(keys), "left_semi").select(part_col)
-    touched = materialize(source.select(part_col).unionByName(old_parts).distinct(), "touched")
+    old_parts = target.join(latest.select(*keys).distinct(), list(keys), "left_semi").select(part_col)
+    touched = materialize(latest.select(part_col).unionByName(old_parts).distinct(), "touched")
     affected = target.join(F.broadcast(touched), part_col, "left_semi")
-    new_rows = materialize(upsert(affected, source.select(*target.columns), keys), "upserted")
+    new_rows = materialize(apply_changes(affected, latest, keys), "merged")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -173,6 +174,19 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     return touched
 
 
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                      part_col: str) -> DataFrame:
+    """Full-row upsert (no deletes) that rewrites only the touched partitions (C4)."""
+    target_cols = spark.read.parquet(path).columns
+    latest = source.select(*target_cols).withColumn("Op", F.lit("U"))
+    return merge_into_partitions(spark, path, latest, keys, part_col)
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    """Stable bucket of a key (a function of the key only, so rows never move)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
 def write_fact(df: DataFrame, path: str, part_col: str = "order_month", mode: str = "error") -> None:
     """Month-partitioned fact write (S9).  ``rebalance`` on the partition
     column gives about one file per month per advisory size: adaptive
