@@ -9,10 +9,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from tidemark.functions.cleanse import status_step
+from tidemark.operators import changes as C
+from tidemark.operators import govern as G
+from tidemark.operators import profile as PR
+from tidemark.operators import quality as Q
+from tidemark.operators import relational as R
+from tidemark.operators import scd
+from tidemark.operators.star import CLOSED_STATUSES, with_order_month
 from tidemark.plans import business as B
 from tidemark.plans import curated as CU
+from tidemark.plans import metrics as M
+from tidemark.plans import pipeline as P
+from tidemark.session import scratch_path
+from tidemark.sources import events as EV
 from tidemark.sources import fixtures as X
+from tidemark.sources import formats as FM
+from tidemark.sources import tables as T
+from tidemark.sources.tables import VersionedTable
+from tidemark.streaming import changes as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -46,13 +63,7 @@ def q_late_rate(spark, sf):
 
 
 # ---- step 2: change application ----------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark.functions.cleanse import status_step  # noqa: E402
-from tidemark.operators import changes as C  # noqa: E402
-from tidemark.operators import relational as R  # noqa: E402
-from tidemark.operators import scd  # noqa: E402
-from tidemark.operators.star import CLOSED_STATUSES  # noqa: E402
 
 # Fixed values of the test scenarios (seeded draws, sizes as in the
 # reference's activity generator: 100 status updates, 10 deletes, 5 keys).
@@ -216,10 +227,6 @@ def q_top_categories(spark, sf):
 
 
 # ---- step 5: quality gate, validations -------------------------------------
-from tidemark.operators import quality as Q  # noqa: E402
-from tidemark.plans import pipeline as P  # noqa: E402
-from tidemark.session import scratch_path  # noqa: E402
-from tidemark.sources.tables import VersionedTable  # noqa: E402
 
 DQ_COLUMNS = ["rule_index", "rule", "outcome", "passed", "observed", "message"]
 
@@ -270,8 +277,6 @@ def q_publish_blocked(spark, sf):
 
 
 # ---- step 6: profiles and metrics --------------------------------------------
-from tidemark.operators import profile as PR  # noqa: E402
-from tidemark.plans import metrics as M  # noqa: E402
 
 FRESHNESS_NOW = "2024-02-01 00:00:00"
 
@@ -329,7 +334,6 @@ def q_scan_cost(spark, sf):
 
 
 # ---- step 8: governance -------------------------------------------------------
-from tidemark.operators import govern as G  # noqa: E402
 
 ROLE_SQLS = [
     "SELECT * FROM {customer_pii}",
@@ -380,10 +384,6 @@ def q_grants(spark, sf):
 
 
 # ---- step 7: events, partitions, files, formats ---------------------------------
-from tidemark.operators.star import with_order_month  # noqa: E402
-from tidemark.sources import events as EV  # noqa: E402
-from tidemark.sources import formats as FM  # noqa: E402
-from tidemark.sources import tables as T  # noqa: E402
 
 # The hour and day the partition queries look at, the declared
 # projection (types, years, months, days, hours) and an out-of-range year.
@@ -499,7 +499,6 @@ def q_seeded_sample(spark, sf):
 
 
 # ---- streaming --------------------------------------------------------------------
-from tidemark.streaming import changes as ST  # noqa: E402
 
 
 def landed_changes(spark, sf):

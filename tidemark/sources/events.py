@@ -49,31 +49,32 @@ def land_events(df: DataFrame, root: str) -> DataFrame:
 
     Stands in for the stream producer: every task writes its own small files
     for the hours it holds (no shuffle, so a hot hour is never one task).
-    File names are fixed per input split and written via a temporary file
-    and an atomic replace, so task retries do not duplicate events.
-    Needs ``root`` on a file system mounted on every executor.  Returns one
-    row with the number of files and rows written."""
+    File names are fixed per input split and each file is written under a
+    temporary name and then moved into place, so task retries replace their
+    own output instead of duplicating events.  Executors write through
+    Arrow's file-system layer (local paths, ``file:``, ``s3://``, ``hdfs://``).
+    Returns one row with the number of files and rows written."""
     cols = [f.name for f in EVENT_SCHEMA.fields]
-    base = root.replace("file:", "", 1) if root.startswith("file:") else root
+    uri = root if "://" in root else "file://" + os.path.abspath(root.replace("file:", "", 1))
 
     def write(batches):
         import pandas as pd
+        from pyarrow import fs as pafs
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid, attempt = ctx.partitionId(), ctx.attemptNumber()
+        fs, base = pafs.FileSystem.from_uri(uri)
         files = rows = 0
         for b, pdf in enumerate(batches):
             for key, g in pdf.groupby(PART_COLS, sort=False):
-                folder = os.path.join(base, *key)
-                os.makedirs(folder, exist_ok=True)
-                # the name depends only on the input split, so a retried or
-                # speculative task replaces its own file instead of adding one
+                folder = "/".join([base.rstrip("/"), *key])
+                fs.create_dir(folder, recursive=True)
                 name = f"part-{pid:05d}-{b:04d}.json.gz"
-                tmp = os.path.join(folder, f".{name}.{attempt}-{uuid.uuid4().hex}.tmp")
+                tmp = f"{folder}/.{name}.{attempt}-{uuid.uuid4().hex}.tmp"
                 body = g[cols].to_json(orient="records", lines=True, double_precision=15)
-                with gzip.open(tmp, "wt", encoding="utf-8") as fh:
-                    fh.write(body)
-                os.replace(tmp, os.path.join(folder, name))
+                with fs.open_output_stream(tmp) as out:
+                    out.write(gzip.compress(body.encode("utf-8")))
+                fs.move(tmp, f"{folder}/{name}")
                 files += 1
                 rows += len(g)
         yield pd.DataFrame({"files": [files], "rows": [rows]})
