@@ -59,7 +59,10 @@ def incremental_scd2(spark: SparkSession, batches: list[DataFrame], states: list
             dim = scd.scd2_apply(dim, scd.customer_source(state), X.RUN_TS[k])
         else:
             touched = state.join(batch.select("customer_id").distinct(), "customer_id", "left_semi")
-            dim = scd.scd2_apply(dim, scd.customer_source(touched), X.RUN_TS[k], src_is_complete=False)
+            # written once (it grows with the batch, not the table): its keys are
+            # broadcast and its rows merged without recomputing the semi join
+            src = materialize(scd.customer_source(touched), "touched_customers")
+            dim = scd.scd2_apply(dim, src, X.RUN_TS[k], src_is_complete=False)
         dim = materialize(dim, "dim_customer")
         dims.append(dim)
     return dims
