@@ -73,6 +73,12 @@ def test_stream_equals_batch_and_replays_are_harmless(spark, tmp_dir):
     assert n_versions > 1                                            # several micro-batches
     ST.apply_stream(spark, src, schema, table, pk, tmp_dir + "/ckpt")  # second run: nothing new
     assert len(table.versions()) == n_versions
+    late = spark.createDataFrame([("0", "Customer#000000000", "9", "cityX", "SP", "U",
+                                   __import__("datetime").datetime(2024, 2, 1))], schema)
+    late.write.mode("append").parquet(src)                              # third run: only the new file
+    ST.apply_stream(spark, src, schema, table, pk, tmp_dir + "/ckpt")
+    assert len(table.versions()) == n_versions + 1
+    assert table.read().where("customer_id = '0'").first()["customer_city"] == "cityX"
     assert ST.merge_batch(table, batches[1], pk, batch_id=0) is False  # replayed batch id: no-op
 
 

@@ -53,3 +53,14 @@ def test_mask(spark):
     df = spark.createDataFrame([("555-123-4567", "a@b.c")], "phone string, email string")
     m = G.mask(df, {"phone": "partial", "email": "hash"}).first()
     assert m["phone"] == "***-***-4567" and len(m["email"]) == 64
+
+
+def test_profile_dir_csv_then_parquet(spark, tmp_dir):
+    import os
+    d = tmp_dir + "/data"
+    os.makedirs(d)
+    with open(d + "/b.csv", "w") as fh:
+        fh.write("x,y\n1,\n1,\n2,z\n")
+    spark.createDataFrame([(1,)], "a int").toPandas().to_parquet(d + "/a.parquet")
+    rows = [(r["table"], r["rows"], r["duplicate_rows"], r["worst_null_col"]) for r in PR.profile_dir(spark, d).collect()]
+    assert rows == [("b", 3, 1, "y"), ("a", 1, 0, "a")]
