@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
 
 from tidemark.functions.exprs import attr_hash, surrogate_key
@@ -172,12 +173,14 @@ def join_as_of(fact: DataFrame, dim: DataFrame, ts: str, key: str = "customer_id
     the key, never a nested loop over all pairs; a fact-side hot key is split by
     AQE's skew join, and the version side per key is bounded by the run count.
     """
-    first = dim.groupBy(key).agg(F.min("valid_from").alias("_first_from"))
-    d = dim.join(first, key).select(
-        F.col(key).alias("_d_key"), "customer_key",
-        F.col("valid_from").alias("_d_from"), F.col("valid_to").alias("_d_to"), "_first_from")
-    t = F.col(ts)
-    cond = ((F.col(key) == F.col("_d_key"))
-            & ((t >= F.col("_d_from")) | (F.col("_d_from") == F.col("_first_from")))
-            & (F.col("_d_to").isNull() | (t < F.col("_d_to"))))
-    return fact.join(d, cond, "left").drop("_d_key", "_d_from", "_d_to", "_first_from")
+    # a window, not an aggregate joined back: the dimension is shuffled once,
+    # by the key the join needs anyway (versions per key are few, see above);
+    # the key keeps its name so the join reuses that partitioning
+    d = dim.select(key, "customer_key", "valid_from", "valid_to",
+                   F.min("valid_from").over(Window.partitionBy(key)).alias("_first_from")).alias("_d")
+    f = fact.alias("_f")
+    t = F.col(f"_f.{ts}")
+    cond = ((F.col(f"_f.{key}") == F.col(f"_d.{key}"))
+            & ((t >= F.col("_d.valid_from")) | (F.col("_d.valid_from") == F.col("_d._first_from")))
+            & (F.col("_d.valid_to").isNull() | (t < F.col("_d.valid_to"))))
+    return f.join(d, cond, "left").select(*[F.col(f"_f.`{c}`") for c in fact.columns], F.col("_d.customer_key"))
