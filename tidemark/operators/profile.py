@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import round_ratio
+from tidemark.operators.relational import maybe_broadcast
+from tidemark.session import materialize
 
 PROFILE_SCHEMA = ("table string, rows long, columns int, duplicate_rows long, "
                   "worst_null_col string, worst_null_pct decimal(18,2)")
@@ -39,6 +41,9 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     mask = F.concat_ws("", *[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
     hashed = df.withColumn("_h", F.xxhash64(*cols, mask))
     repeated = hashed.groupBy("_h").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("_h")
+    # written once, so its real size decides the join: a small set of repeated
+    # hashes is broadcast and no full row is shuffled for the filter
+    repeated = maybe_broadcast(materialize(repeated, "repeated_hashes"))
     candidates = hashed.join(repeated, "_h", "left_semi").drop("_h")
     per_row = candidates.groupBy(*cols).agg(F.count("*").alias("_n"))
     return per_row.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
