@@ -139,7 +139,7 @@ def apply_changes(target: DataFrame, latest: DataFrame, pk: Sequence[str],
     large batch takes one full outer join of table and batch instead.
     ``broadcast_keys`` forces either plan (the caller knows the batch size)."""
     if broadcast_keys is None:
-        size = estimated_bytes(latest)
+        size = estimated_bytes(latest.select(*pk))
         broadcast_keys = size is not None and size <= broadcast_limit
     if broadcast_keys:
         keys = F.broadcast(latest.select(*pk))

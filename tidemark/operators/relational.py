@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Broadcast only below this many bytes of *estimated* plan size; above it the
-# join stays a shuffle join (AQE may still convert at run time).
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# join stays a shuffle join (AQE may still convert at run time).  File-based
+# estimates count compressed bytes, so the limit leaves room for the ~5-10x
+# a columnar file grows to in memory.
+BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
 def pick_max(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

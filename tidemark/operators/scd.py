@@ -76,7 +76,7 @@ def scd2_apply(dim: DataFrame, src: DataFrame, run_ts: str, key: str = "customer
     current = dim.where(F.col("is_current"))
     if not src_is_complete:
         if broadcast_keys is None:
-            size = estimated_bytes(src)
+            size = estimated_bytes(src.select(key))
             broadcast_keys = size is not None and size <= BROADCAST_LIMIT_BYTES
         if broadcast_keys:
             keys = F.broadcast(src.select(key))
