@@ -69,7 +69,7 @@ def test_hot_key_third_of_rows(spark):
     state = C.initial_load(C.prepare(df, PK)).withColumn("customer_zip_code_prefix", __import__(
         "pyspark.sql.functions", fromlist=["lit"]).lit("1"))
     dim = scd.scd2_apply(scd.empty_dim(spark), scd.customer_source(state), "2023-01-01 00:00:00")
-    orders = spark.createDataFrame([("hot" if i % 3 == 0 else str(i), t(2024, 1, 2)) for i in range(9000)],
+    orders = spark.createDataFrame([("hot" if i % 3 == 0 else str(i % 6000), t(2024, 1, 2)) for i in range(9000)],
                                    "customer_id string, order_ts timestamp")
     keyed = scd.join_as_of(orders, dim, "order_ts")
     assert keyed.count() == 9000 and keyed.where("customer_key IS NULL").count() == 0
