@@ -73,3 +73,36 @@ def test_hot_key_third_of_rows(spark):
                                    "customer_id string, order_ts timestamp")
     keyed = scd.join_as_of(orders, dim, "order_ts")
     assert keyed.count() == 9000 and keyed.where("customer_key IS NULL").count() == 0
+
+
+snapshot = st.dictionaries(st.sampled_from(["1", "2", "3"]), st.sampled_from(["a", "b"]), max_size=3)
+
+
+def scd_model(snaps, runs):
+    """Versions as (id, city, valid_from, valid_to) from a sequential walk."""
+    versions, current = [], {}
+    for snap, ts in zip(snaps, runs):
+        for cid, city in snap.items():
+            if cid not in current:
+                current[cid] = [cid, city, ts, None]
+                versions.append(current[cid])
+            elif current[cid][1] != city:
+                current[cid][3] = ts
+                current[cid] = [cid, city, ts, None]
+                versions.append(current[cid])
+    return sorted(tuple(v) for v in versions)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(snaps=st.lists(snapshot, min_size=1, max_size=4))
+def test_scd2_matches_sequential_model(spark, snaps):
+    runs = [f"202{i}-01-01 00:00:00" for i in range(len(snaps))]
+    src_schema = "customer_id string, customer_city string, customer_state string, customer_zip_code_prefix string"
+    dim = scd.empty_dim(spark)
+    for snap, ts in zip(snaps, runs):
+        src = spark.createDataFrame([(k, v, "ON", "1") for k, v in snap.items()], src_schema)
+        dim = scd.scd2_apply(dim, scd.customer_source(src), ts)
+    got = sorted((r["customer_id"], r["customer_city"], str(r["valid_from"]),
+                  None if r["valid_to"] is None else str(r["valid_to"])) for r in dim.collect())
+    want = [(c, city, f, t) for c, city, f, t in scd_model(snaps, [r[:19] for r in runs])]
+    assert got == want
