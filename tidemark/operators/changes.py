@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleanse import blank_to_null, map_province
-from tidemark.operators.relational import BROADCAST_LIMIT_BYTES, estimated_bytes, pick_max
+from tidemark.operators.relational import BROADCAST_LIMIT_BYTES, pick_max, worth_broadcasting_keys
 from tidemark.session import materialize
 
 # Primary key of each source table.
@@ -133,14 +133,14 @@ def apply_changes(target: DataFrame, latest: DataFrame, pk: Sequence[str],
                   broadcast_keys: bool | None = None) -> DataFrame:
     """New table state after one batch.
 
-    When the batch's estimated size is under ``broadcast_limit`` its keys are
+    When the batch's keys are small (estimated under ``broadcast_limit``) and
+    the table is large enough for its shuffle to matter, the keys are
     broadcast: rows the batch does not touch stream through without any
-    shuffle, and only the touched rows meet the batch in the merge join.  A
-    large batch takes one full outer join of table and batch instead.
+    shuffle, and only the touched rows meet the batch in the merge join.
+    Otherwise one full outer join of table and batch is cheaper.
     ``broadcast_keys`` forces either plan (the caller knows the batch size)."""
     if broadcast_keys is None:
-        size = estimated_bytes(latest.select(*pk))
-        broadcast_keys = size is not None and size <= broadcast_limit
+        broadcast_keys = worth_broadcasting_keys(target, latest.select(*pk), broadcast_limit)
     if broadcast_keys:
         keys = F.broadcast(latest.select(*pk))
         untouched = target.join(keys, list(pk), "left_anti")

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 # estimates count compressed bytes, so the limit leaves room for the ~5-10x
 # a columnar file grows to in memory.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+# Below this estimated size a table is cheaper to shuffle once than to scan
+# twice around a broadcast key set.
+LARGE_TABLE_BYTES = 256 * 1024 * 1024
 
 
 def pick_max(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -97,3 +100,11 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFr
     if size is not None and size <= limit:
         return F.broadcast(df)
     return df
+
+
+def worth_broadcasting_keys(table: DataFrame, keys: DataFrame, limit: int = BROADCAST_LIMIT_BYTES,
+                            large: int = LARGE_TABLE_BYTES) -> bool:
+    """Split ``table`` around a broadcast key set only when the keys are
+    small and the table is large: then untouched rows are never shuffled."""
+    k, t = estimated_bytes(keys), estimated_bytes(table)
+    return k is not None and k <= limit and t is not None and t >= large

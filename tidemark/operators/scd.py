@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
 
 from tidemark.functions.exprs import attr_hash, surrogate_key
-from tidemark.operators.relational import BROADCAST_LIMIT_BYTES, dedupe, estimated_bytes, where_key_in
+from tidemark.operators.relational import dedupe, where_key_in, worth_broadcasting_keys
 from tidemark.session import materialize
 
 DIM_CUSTOMER_SCHEMA = StructType([
@@ -64,8 +64,9 @@ def scd2_apply(dim: DataFrame, src: DataFrame, run_ts: str, key: str = "customer
     ``src_is_complete=False`` means ``src`` holds only the customers touched
     since the last run (their new state); everyone else keeps the current
     version, which is exactly the ``keep`` rule for absent customers.  Then,
-    when the touched set is small (or ``broadcast_keys``), its keys are
-    broadcast and untouched current versions are not shuffled at all."""
+    when the touched set is small and the dimension large (or
+    ``broadcast_keys``), its keys are broadcast and untouched current
+    versions are not shuffled at all."""
     if on_source_delete not in ("keep", "close", "delete"):
         raise ValueError(f"on_source_delete must be keep, close or delete, not {on_source_delete!r}")
     if not src_is_complete and on_source_delete != "keep":
@@ -76,8 +77,7 @@ def scd2_apply(dim: DataFrame, src: DataFrame, run_ts: str, key: str = "customer
     current = dim.where(F.col("is_current"))
     if not src_is_complete:
         if broadcast_keys is None:
-            size = estimated_bytes(src.select(key))
-            broadcast_keys = size is not None and size <= BROADCAST_LIMIT_BYTES
+            broadcast_keys = worth_broadcasting_keys(current, src.select(key))
         if broadcast_keys:
             keys = F.broadcast(src.select(key))
             history = history.unionByName(current.join(keys, key, "left_anti").select(*cols))
