@@ -110,3 +110,26 @@ def test_seed_csv_nulls_empties_and_failfast(spark, tmp_dir):
                  'o1,not-a-number,p,s,2024-01-01 00:00:00,1.00,1.00\n')
     with pytest.raises(Exception):
         read_seed_csv(spark, bad, "order_items").collect()                      # any bad row aborts
+
+
+def test_dashboard_anti_joins_and_full_refresh(spark, tmp_dir):
+    from tidemark.operators import relational as R
+    from tidemark.operators import scd
+    from tidemark.plans import business as B
+    from tidemark.plans import curated as CU
+    from tidemark.sources.files import load_table
+
+    from conftest import SMALL
+    c = CU.curated(spark, SMALL)
+    fact = CU.fact(spark, SMALL)
+    d = B.dashboard_queries(fact, c.dim_customer, c.dim_product, "1998-06-01 00:00:00", "1998-07-01 00:00:00")
+    assert set(d) == {"line_count", "revenue_by_status", "top_categories", "revenue_by_province", "month_count"}
+    assert d["line_count"].first()["lines"] == fact.count()
+    # Every source customer has a current version after the last run
+    src = scd.customer_source(c.cleansed_states[3])
+    assert scd.without_current(src, c.dim_customer).count() == 0
+    keys = spark.createDataFrame([("1",)], "customer_id string")
+    assert R.where_key_not_in(src, keys, "customer_id").count() == src.count() - 1
+    load_table(spark.range(5), tmp_dir + "/t")
+    load_table(spark.range(2), tmp_dir + "/t")                 # full refresh replaces
+    assert spark.read.parquet(tmp_dir + "/t").count() == 2

@@ -12,7 +12,6 @@ on a local disk, HDFS or an object store.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -124,21 +123,6 @@ class VersionedTable:
         return staged
 
 
-def rewrite_partitions(spark: SparkSession, new_state: DataFrame, table: VersionedTable,
-                       touched: DataFrame, part_col: str) -> str:
-    """Copy-on-write of only the touched partitions (C4).
-
-    ``touched`` lists the partition values hit by the change (old and new
-    month of a moved row).  The new version is written from the new state of
-    those partitions plus untouched partitions read as they are; untouched
-    partitions are not recomputed from the change.
-    """
-    wanted = touched.select(part_col).distinct()
-    changed = new_state.join(F.broadcast(wanted), part_col, "left_semi")
-    kept = table.read().join(F.broadcast(wanted), part_col, "left_anti")
-    return table.replace(kept.unionByName(changed))
-
-
 def merge_into_partitions(spark: SparkSession, path: str, latest: DataFrame, keys: Sequence[str],
                           part_col: str) -> DataFrame:
     """Apply latest changes (with ``Op``) to a partitioned Parquet folder,
@@ -234,7 +218,3 @@ def compact(spark: SparkSession, path: str, out: str, target_mb: int = 128,
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
     return spark.read.parquet(out)
-
-
-def files_for_size(total_bytes: int, target_mb: int) -> int:
-    return max(1, math.ceil(total_bytes / (target_mb * 1024 * 1024)))
