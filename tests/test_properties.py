@@ -106,3 +106,31 @@ def test_scd2_matches_sequential_model(spark, snaps):
                   None if r["valid_to"] is None else str(r["valid_to"])) for r in dim.collect())
     want = [(c, city, f, t) for c, city, f, t in scd_model(snaps, [r[:19] for r in runs])]
     assert got == want
+
+
+def test_hot_customer_is_split_by_adaptive_skew_join(spark):
+    """A customer with a third of the orders: the as-of join is planned as a
+    skew-split sort-merge join (thresholds lowered to this test's size)."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        dim = spark.range(200).select(
+            F.col("id").cast("string").alias("customer_id"), F.md5(F.col("id").cast("string")).alias("customer_key"),
+            F.lit(dt.datetime(2020, 1, 1)).alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"),
+            F.lit(True).alias("is_current"))
+        orders = spark.range(200000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("7")).otherwise((F.col("id") % 200).cast("string")).alias("customer_id"),
+            F.lit(dt.datetime(2021, 1, 1)).alias("order_ts"))
+        j = scd.join_as_of(orders, dim, "order_ts")
+        assert j.where("customer_key IS NULL").count() == 0
+        j.collect()
+        assert "SortMergeJoin(skew=true)" in j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
