@@ -50,3 +50,16 @@ def test_jobs_end_to_end(spark, tmp_dir):
     fact_t = VersionedTable(spark, curated + "/fact_order_item")
     assert len(fact_t.versions()) == 2 and len(fact_t.published()) == 1         # blocked version stays hidden
     assert spark.read.parquet(log).count() == 2
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from tidemark.__main__ import main
+    raw, cleansed, curated = tmp_dir + "/raw", tmp_dir + "/cleansed", tmp_dir + "/curated"
+    land(spark, raw, SMALL)
+    assert main(["ingest", "--raw", raw, "--cleansed", cleansed, "--checkpoints", tmp_dir + "/ck"]) == 0
+    # the full ruleset blocks this data: exit code 2, nothing published
+    assert main(["build", "--cleansed", cleansed, "--curated", curated, "--run-ts", X.RUN_TS[0],
+                 "--as-of", X.AS_OF_TS]) == 2
+    assert main(["--json", "profile", "--dir", SMALL]) == 0
+    out = capsys.readouterr().out
+    assert '"table":"lineitem"' in out and "blocked" in out
