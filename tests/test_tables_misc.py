@@ -133,3 +133,25 @@ def test_dashboard_anti_joins_and_full_refresh(spark, tmp_dir):
     load_table(spark.range(5), tmp_dir + "/t")
     load_table(spark.range(2), tmp_dir + "/t")                 # full refresh replaces
     assert spark.read.parquet(tmp_dir + "/t").count() == 2
+
+
+def test_all_metrics_records(spark, tmp_dir):
+    import datetime as dt
+
+    from tidemark import registry as RG
+    from tidemark.plans import metrics as M
+    from tidemark.plans import curated as CU
+
+    from conftest import SMALL
+    t = RG.curated_tables(spark, SMALL)
+    dims = {k: v for k, v in t.items() if k != "fact_order_item"}
+    spark.range(3).write.parquet(tmp_dir + "/zone")
+    qlog = spark.createDataFrame([("q1", dt.datetime(2024, 1, 1), 2 ** 40)], "query_id string, submitted_at timestamp, scanned_bytes long")
+    recs = M.all_metrics(spark, t["fact_order_item"], dims, t["dim_customer"], "2024-02-01 00:00:00",
+                         rule_log=RG.rule_log(spark, SMALL), run_log=RG.load_run_log(spark, SMALL),
+                         query_log=qlog, zone=tmp_dir + "/zone")
+    got = {r["metric"]: r["value"] for r in recs.collect()}
+    assert got["EstimatedCostUSD"] == 5.0 and got["DataQualityRulesFailed"] == 3.0
+    assert got["ZoneObjectCount"] >= 1 and got["MinutesSinceLastRefresh"] > 0
+    assert {"CuratedRowCount", "Scd2VersionedCustomers", "OrphanFactRows", "DataQualityScore",
+            "PipelineDurationSeconds", "BytesScanned", "ZoneBytes"} <= set(got)

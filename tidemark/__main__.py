@@ -14,7 +14,6 @@ cluster the session comes from ``spark-submit``; locally one is created.
 from __future__ import annotations
 
 import argparse
-import json
 import sys
 
 from pyspark.sql import DataFrame
@@ -70,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
         done = J.raw_to_cleansed(spark, a.raw, a.cleansed, a.checkpoints, buckets=buckets)
         _show(spark.createDataFrame(sorted(done.items()), "table_name string, versions long"), a.json)
     elif a.cmd == "build":
-        row = J.daily_pipeline(spark, a.cleansed, a.curated, a.run_ts, a.as_of or a.run_ts, run_log=a.run_log)
+        run_log = a.run_log or f"{a.curated.rstrip('/')}/_runs"     # read back by `metrics`
+        row = J.daily_pipeline(spark, a.cleansed, a.curated, a.run_ts, a.as_of or a.run_ts, run_log=run_log)
         _show(row, a.json)
         return 0 if row.first()["outcome"] == "ok" else 2
     elif a.cmd == "quality":
@@ -87,7 +87,11 @@ def main(argv: list[str] | None = None) -> int:
         t = J.read_curated(spark, a.curated)
         now = a.now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         dims = {k: v for k, v in t.items() if k != "fact_order_item"}
-        _show(M.health_metrics(t["fact_order_item"], dims, t["dim_customer"], now), a.json)
+        from tidemark.sources.tables import exists
+        runs = f"{a.curated.rstrip('/')}/_runs"
+        run_log = spark.read.parquet(runs).where("outcome = 'ok'") if exists(spark, runs) else None
+        _show(M.all_metrics(spark, t["fact_order_item"], dims, t["dim_customer"], now, run_log=run_log,
+                            zone=a.curated), a.json)
     elif a.cmd == "profile":
         from tidemark.operators.profile import profile_dir
         _show(profile_dir(spark, a.dir), a.json)

@@ -99,3 +99,38 @@ def health_metrics(fact: DataFrame, dims: Mapping[str, DataFrame], dim_customer:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("m.*")
+
+
+def all_metrics(spark, fact: DataFrame, dims: Mapping[str, DataFrame], dim_customer: DataFrame,
+                measured_at: str, rule_log: DataFrame | None = None, run_log: DataFrame | None = None,
+                query_log: DataFrame | None = None, zone: str | None = None) -> DataFrame:
+    """Every health metric as metric records (M1-M8): row counts, versioned
+    customers, orphans, and - when their inputs are given - the latest quality
+    score and failed rules, freshness and run duration, bytes scanned and
+    their price, and the object count and bytes of a storage zone."""
+    out = health_metrics(fact, dims, dim_customer, measured_at)
+    extra = []
+    if rule_log is not None:
+        s = latest_score(rule_log)
+        extra.append(s.select(F.explode(F.array(
+            metric("DataQualityScore", F.col("score_pct"), "Percent", None, measured_at),
+            metric("DataQualityRulesFailed", F.col("failed_rules"), "Count", None, measured_at))).alias("m")))
+    if run_log is not None:
+        f = freshness(run_log, measured_at)
+        extra.append(f.select(F.explode(F.array(
+            metric("MinutesSinceLastRefresh", F.col("minutes_since_success"), "Count", None, measured_at),
+            metric("PipelineDurationSeconds", F.col("duration_seconds"), "Seconds", None, measured_at))).alias("m")))
+    if query_log is not None:
+        c = scan_cost(query_log)
+        extra.append(c.select(F.explode(F.array(
+            metric("BytesScanned", F.col("scanned_bytes"), "Bytes", None, measured_at),
+            metric("EstimatedCostUSD", F.col("cost_usd"), "None", None, measured_at))).alias("m")))
+    if zone is not None:
+        from tidemark.sources.tables import folder_bytes
+        z = folder_bytes(spark, zone)
+        extra.append(z.select(F.explode(F.array(
+            metric("ZoneObjectCount", F.col("objects"), "Count", {"Zone": zone}, measured_at),
+            metric("ZoneBytes", F.col("bytes"), "Bytes", {"Zone": zone}, measured_at))).alias("m")))
+    for e in extra:
+        out = out.unionByName(e.select("m.*"))
+    return out
