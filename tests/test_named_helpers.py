@@ -1,0 +1,73 @@
+"""The survey's named helpers: joins of the star, aggregates, sources."""
+import datetime as dt
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.exprs import avg_round, pct_true
+from tidemark.operators import govern as G
+from tidemark.operators import profile as PR
+from tidemark.operators import scd
+from tidemark.operators import star as S
+from tidemark.plans import business as B
+from tidemark.plans import curated as CU
+from tidemark.plans import metrics as M
+from tidemark.sources import events as EV
+from tidemark.sources import files as FL
+from tidemark.sources import tables as T
+from tidemark.streaming import changes as ST
+
+from conftest import SMALL
+
+
+def test_two_step_scd2_equals_one_join(spark):
+    c = CU.curated(spark, SMALL)
+    src = scd.customer_source(c.cleansed_states[3])
+    prev = c.dim_runs[2]
+    two = scd.scd2_open(scd.scd2_close(prev, src, "2001-01-01 00:00:00"), src, "2001-01-01 00:00:00")
+    one = scd.scd2_apply(prev, src, "2001-01-01 00:00:00")
+    assert two.exceptAll(one).count() == 0 and one.exceptAll(two).count() == 0
+
+
+def test_star_joins(spark):
+    c = CU.curated(spark, SMALL)
+    fact = CU.fact(spark, SMALL)
+    n = fact.count()
+    assert S.with_customer(fact, c.dim_customer).count() == n
+    assert S.with_current_customer(fact, c.dim_customer).count() == n
+    assert S.with_product(fact, c.dim_product).count() == n
+    assert S.star(fact, c.dim_product, c.dim_date).count() == n
+    w = S.with_first_order(fact).join(
+        B.first_order(fact).withColumnRenamed("acquired_ts", "first_ts"), "customer_id")
+    assert w.count() == n and w.where(F.col("acquired_ts") != F.col("first_ts")).count() == 0
+    from tidemark.sources import fixtures as X
+    tr = S.join_translation(X.products(spark, SMALL), X.category_translation(spark, SMALL))
+    assert tr.count() == X.products(spark, SMALL).count()
+    b = B.bounds(c.orders, "order_purchase_timestamp").first()
+    assert (b["d1"] - b["d0"]).days + 1 == c.dim_date.count()
+
+
+def test_aggregate_helpers(spark):
+    df = spark.createDataFrame([(1, D("1.00"), True), (2, D("2.50"), None), (4, None, False)],
+                               "n int, m decimal(10,2), f boolean")
+    r = df.agg(avg_round("n", 2).alias("a"), avg_round("m", 2, scale=2).alias("b"),
+               pct_true(F.col("f")).alias("p")).first()
+    assert (str(r["a"]), str(r["b"]), str(r["p"])) == ("2.33", "1.75", "33.33")
+    pct = PR.null_pct(df).first()
+    assert (str(pct["n"]), str(pct["m"]), str(pct["f"])) == ("0.00", "33.33", "33.33")
+    view = spark.createDataFrame([("ON",), ("ON",), ("QC",)], "province string")
+    assert {r["province"]: r["rows_visible"] for r in G.rows_by_role(view).collect()} == {"ON": 2, "QC": 1}
+
+
+def test_named_sources_and_sinks(spark, tmp_dir):
+    t = T.replace_table(spark, spark.range(3), tmp_dir + "/t")
+    assert t.endswith("v000001") and T.VersionedTable(spark, tmp_dir + "/t").read().count() == 3
+    people = G.synth_pii(spark.createDataFrame([("1", "ON")], "customer_id string, province string"))
+    FL.write_pii(people, tmp_dir + "/pii")
+    assert FL.read_pii(spark, tmp_dir + "/pii").collect() == people.collect()
+    assert M.zone_size(spark, tmp_dir + "/pii").first()["objects"] >= 1
+    s = ST.read_changes(spark, tmp_dir + "/pii", people.schema)
+    assert s.isStreaming
+    ev = spark.createDataFrame([("pos_sale", "2024", "01", "05"), ("pos_sale", "2024", "01", "06")],
+                               "event_type string, y string, m string, d string")
+    assert EV.events_by_type(ev, {"y": "2024", "m": "01", "d": "05"}).first()["events"] == 1

@@ -76,3 +76,15 @@ def count_true(cond: Column) -> Column:
 
 def lpad_int(c: str | Column, digits: int) -> Column:
     return F.lpad(col_(c).cast("string"), digits, "0")
+
+
+def avg_round(c: str | Column, n: int, scale: int = 0) -> Column:
+    """round(avg(c), n), half up and exact (A5): an aggregate expression.
+    ``scale`` is the number of decimals of ``c`` (2 for money)."""
+    k = 10 ** scale
+    return round_ratio((F.sum(col_(c)) * k).cast("long"), F.count(col_(c)) * k, n)
+
+
+def pct_true(cond: Column, n: int = 2) -> Column:
+    """Percentage of rows where ``cond`` holds, rounded (A7): an aggregate."""
+    return round_ratio(count_true(cond) * 100, F.count(F.lit(1)), n)

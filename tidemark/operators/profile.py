@@ -89,3 +89,10 @@ def profile_dir(spark: SparkSession, path: str) -> DataFrame:
     if out is None:
         return spark.createDataFrame([], PROFILE_SCHEMA)
     return out
+
+
+def null_pct(df: DataFrame) -> DataFrame:
+    """NULL percent of every column, 2 dp, in one aggregate."""
+    one = null_counts(df)
+    rows = F.greatest(F.col("_rows"), F.lit(1))
+    return one.select(*[round_ratio(F.col(f"_null_{i}") * 100, rows, 2).alias(c) for i, c in enumerate(df.columns)])

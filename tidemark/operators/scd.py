@@ -117,6 +117,31 @@ def scd2_apply(dim: DataFrame, src: DataFrame, run_ts: str, key: str = "customer
     return history.select(*cols).unionByName(moved)
 
 
+def scd2_close(dim: DataFrame, src: DataFrame, run_ts: str, key: str = "customer_id") -> DataFrame:
+    """Step 1 of 2 (D2): close current versions whose attribute hash changed."""
+    run = F.lit(run_ts).cast("timestamp")
+    cols = [f.name for f in DIM_CUSTOMER_SCHEMA.fields]
+    s = src.select(F.col(key).alias("_s_key"), F.col("attr_hash").alias("_s_hash"))
+    j = dim.join(s, (F.col(key) == F.col("_s_key")) & F.col("is_current"), "left")
+    changed = F.col("_s_hash").isNotNull() & (F.col("attr_hash") != F.col("_s_hash"))
+    return j.select(*[
+        (F.when(changed, run).otherwise(F.col("valid_to")) if c == "valid_to" else
+         F.when(changed, F.lit(False)).otherwise(F.col("is_current")) if c == "is_current" else F.col(c)).alias(c)
+        for c in cols])
+
+
+def scd2_open(dim: DataFrame, src: DataFrame, run_ts: str, key: str = "customer_id",
+              tracked: Sequence[str] = TRACKED) -> DataFrame:
+    """Step 2 of 2 (D3): a new version for every source customer without a
+    current one (new customers and those just closed)."""
+    run = F.lit(run_ts).cast("timestamp")
+    new = without_current(src, dim, key).select(
+        surrogate_key(F.col(key), run).alias("customer_key"), F.col(key), *[F.col(t) for t in tracked],
+        "attr_hash", run.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"),
+        F.lit(True).alias("is_current"))
+    return dim.unionByName(new)
+
+
 def scd2_runs(spark: SparkSession, sources: Sequence[DataFrame], run_ts: Sequence[str],
               dim: DataFrame | None = None, checkpoint: bool = True, **kw) -> list[DataFrame]:
     """Apply several runs in order; each result is written to the shared

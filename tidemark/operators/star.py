@@ -108,3 +108,40 @@ def build_fact(items: DataFrame, orders: DataFrame, dim_customer: DataFrame, as_
 def with_order_month(fact: DataFrame) -> DataFrame:
     """Explicit month partition column (Parquet has no hidden partitioning)."""
     return fact.withColumn("order_month", F.date_format("order_ts", "yyyy-MM"))
+
+
+# ---- the star's joins, by name (J3, J7-J10, J15) ------------------------------
+def join_translation(products: DataFrame, translation: DataFrame) -> DataFrame:
+    """Products with the English category name, if any (J3, left join)."""
+    t = maybe_broadcast(translation.select(F.col("product_category_name").alias("_t_name"),
+                                           "product_category_name_english"))
+    return products.join(t, F.col("product_category_name") == F.col("_t_name"), "left").drop("_t_name")
+
+
+def with_customer(fact: DataFrame, dim: DataFrame, cols: tuple[str, ...] = ("province",)) -> DataFrame:
+    """Fact rows with attributes of the referenced version (J8, inner on the surrogate key)."""
+    return fact.join(dim.select("customer_key", *cols), "customer_key")
+
+
+def with_current_customer(fact: DataFrame, dim: DataFrame, cols: tuple[str, ...] = ("province",)) -> DataFrame:
+    """Fact rows with attributes of the customer's current version."""
+    return fact.join(dim.where(F.col("is_current")).select("customer_id", *cols), "customer_id")
+
+
+def with_product(fact: DataFrame, product: DataFrame, cols: tuple[str, ...] = ("category",)) -> DataFrame:
+    """Fact rows with product attributes (J15, inner: unknown products drop out)."""
+    return fact.join(maybe_broadcast(product.select("product_id", *cols)), "product_id")
+
+
+def with_first_order(fact: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Each row with its customer's first order time (J10, A1).  A window on
+    the key: no aggregate joined back, one shuffle by the key."""
+    from pyspark.sql.window import Window
+    return fact.withColumn("acquired_ts", F.min("order_ts").over(Window.partitionBy(key)))
+
+
+def star(fact: DataFrame, product: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Fact x product x calendar on ``date(order_ts) = date_key`` (J7); the
+    calendar is bounded by the number of days and is broadcast."""
+    f = with_product(fact, product)
+    return f.join(F.broadcast(calendar), F.to_date("order_ts") == F.col("date_key"))

@@ -155,3 +155,16 @@ def dashboard_queries(fact: DataFrame, dim: DataFrame, product: DataFrame,
         "revenue_by_province": revenue_by_province(fact, dim).select("province", "revenue"),
         "month_count": total(fact, month_lo, month_hi).select("lines"),
     }
+
+
+def first_order(fact: DataFrame, key: str = "customer_id") -> DataFrame:
+    """First order time per customer (A1)."""
+    return fact.groupBy(key).agg(F.min("order_ts").alias("acquired_ts"))
+
+
+def bounds(df: DataFrame, ts: str) -> DataFrame:
+    """Earliest and latest date of a timestamp column, as a one-row DataFrame."""
+    return df.agg(F.min(F.to_date(ts)).alias("d0"), F.max(F.to_date(ts)).alias("d1"))
+
+
+cohort = clv_by_cohort   # A9: the two-level aggregation is B1

@@ -134,3 +134,9 @@ def all_metrics(spark, fact: DataFrame, dims: Mapping[str, DataFrame], dim_custo
     for e in extra:
         out = out.unionByName(e.select("m.*"))
     return out
+
+
+def zone_size(spark, path: str) -> DataFrame:
+    """Object count and bytes of a storage zone (M7); reads no file content."""
+    from tidemark.sources.tables import folder_bytes
+    return folder_bytes(spark, path)

@@ -199,3 +199,11 @@ def optimize_events(df: DataFrame, out: str) -> DataFrame:
                       F.expr("try_cast(event_time AS timestamp)").alias("event_ts"), "late", "event_type")
     typed.write.mode("error").partitionBy("event_type").option("compression", "snappy").parquet(out)
     return df.sparkSession.read.parquet(out)
+
+
+def events_by_type(events: DataFrame, day: dict[str, str]) -> DataFrame:
+    """Events per type in one day (A15): ``day`` holds y, m, d path values."""
+    out = events
+    for k, v in day.items():
+        out = out.where(F.col(k) == v)
+    return out.groupBy("event_type").agg(F.count("*").alias("events"))

@@ -218,3 +218,8 @@ def compact(spark: SparkSession, path: str, out: str, target_mb: int = 128,
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
     return spark.read.parquet(out)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Create-or-replace (S8): a new version folder that becomes current."""
+    return VersionedTable(spark, path, partition_by).replace(df)
