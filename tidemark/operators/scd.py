@@ -40,15 +40,20 @@ DIM_CUSTOMER_SCHEMA = StructType([
 TRACKED = ("customer_city", "province", "postal_prefix")
 
 
-def customer_source(cleansed_customers: DataFrame) -> DataFrame:
-    """Renamed customer attributes, one row per id, with the attribute hash."""
+def customer_source(cleansed_customers: DataFrame, unique: bool = False) -> DataFrame:
+    """Renamed customer attributes, one row per id, with the attribute hash.
+
+    ``unique=True`` skips the de-duplication (one aggregate, i.e. one shuffle)
+    for input known to hold one row per id, such as a table maintained by
+    ``apply_changes``."""
     s = cleansed_customers.select(
         F.col("customer_id"),
         F.col("customer_city"),
         F.col("customer_state").alias("province"),
         F.col("customer_zip_code_prefix").alias("postal_prefix"),
     )
-    s = dedupe(s, ["customer_id"])
+    if not unique:
+        s = dedupe(s, ["customer_id"])
     return s.withColumn("attr_hash", attr_hash(*TRACKED))
 
 

@@ -50,7 +50,8 @@ def change_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def incremental_scd2(spark: SparkSession, batches: list[DataFrame], states: list[DataFrame]) -> list[DataFrame]:
-    """SCD2 runs after each load.  The first run sees the whole table; later
+    """SCD2 runs after each load (the cleansed states come from
+    ``apply_changes``, so they hold one row per customer).  The first run sees the whole table; later
     runs of a large table see only the customers their batch touched (in
     their new state), so untouched customers are neither compared nor
     shuffled.  Both give the same dimension (absent customers are kept)."""
@@ -60,12 +61,12 @@ def incremental_scd2(spark: SparkSession, batches: list[DataFrame], states: list
         small = (estimated_bytes(state) or 0) < LARGE_TABLE_BYTES
         if k == 0 or small:
             # the whole snapshot: for a small table one join beats the extra steps
-            dim = scd.scd2_apply(dim, scd.customer_source(state), X.RUN_TS[k])
+            dim = scd.scd2_apply(dim, scd.customer_source(state, unique=True), X.RUN_TS[k])
         else:
             touched = state.join(batch.select("customer_id").distinct(), "customer_id", "left_semi")
             # written once (it grows with the batch, not the table): its keys are
             # broadcast and its rows merged without recomputing the semi join
-            src = materialize(scd.customer_source(touched), "touched_customers")
+            src = materialize(scd.customer_source(touched, unique=True), "touched_customers")
             dim = scd.scd2_apply(dim, src, X.RUN_TS[k], src_is_complete=False)
         dim = materialize(dim, "dim_customer")
         dims.append(dim)
