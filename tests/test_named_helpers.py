@@ -1,5 +1,4 @@
 """The survey's named helpers: joins of the star, aggregates, sources."""
-import datetime as dt
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
