@@ -105,3 +105,10 @@ def test_boundary_types_are_portable(spark):
             continue                                   # writers: covered by the oracle test
         types = [t for _, t in fn(spark, SMALL).dtypes]
         assert not [t for t in types if t.startswith(("decimal", "array", "map")) or t == "date"], (name, types)
+
+
+def test_no_query_plans_a_cross_join(spark):
+    """No registered query is planned with a cartesian or nested-loop join."""
+    for name, fn in E.queries().items():
+        plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name

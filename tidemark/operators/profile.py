@@ -66,9 +66,16 @@ def profile(df: DataFrame, name: str) -> DataFrame:
         F.lit(len(cols)).cast("int").alias("columns"),
         worst_name.alias("worst_null_col"),
         F.coalesce(pct, F.lit(0).cast("decimal(18,2)")).alias("worst_null_pct"))
-    dups = duplicate_rows(df).withColumn("table", F.lit(name))
-    return head.join(dups, "table").select("table", "rows", "columns", "duplicate_rows",
-                                           "worst_null_col", "worst_null_pct")
+    # two one-row results side by side without a join: stack them and take
+    # each column's non-NULL value (a two-row aggregate, not a cross join)
+    top = head.withColumn("duplicate_rows", F.lit(None).cast("long"))
+    dups = duplicate_rows(df).select(
+        F.lit(name).alias("table"), F.lit(None).cast("long").alias("rows"), F.lit(None).cast("int").alias("columns"),
+        F.lit(None).cast("string").alias("worst_null_col"),
+        F.lit(None).cast("decimal(18,2)").alias("worst_null_pct"), "duplicate_rows")
+    both = top.unionByName(dups).groupBy("table").agg(
+        *[F.max(c).alias(c) for c in ("rows", "columns", "duplicate_rows", "worst_null_col", "worst_null_pct")])
+    return both.select("table", "rows", "columns", "duplicate_rows", "worst_null_col", "worst_null_pct")
 
 
 def profile_dir(spark: SparkSession, path: str) -> DataFrame:
