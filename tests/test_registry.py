@@ -107,8 +107,10 @@ def test_boundary_types_are_portable(spark):
         assert not [t for t in types if t.startswith(("decimal", "array", "map")) or t == "date"], (name, types)
 
 
-def test_no_query_plans_a_cross_join(spark):
-    """No registered query is planned with a cartesian or nested-loop join."""
+def test_no_query_plans_a_cross_join_or_python(spark):
+    """No registered query is planned with a cartesian or nested-loop join,
+    and none evaluates Python row by row: everything stays in the JVM."""
     for name, fn in E.queries().items():
         plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
