@@ -134,3 +134,17 @@ def test_hot_customer_is_split_by_adaptive_skew_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pairs=st.lists(st.tuples(st.integers(0, 10 ** 12), st.integers(1, 10 ** 6)), min_size=1, max_size=40),
+       scale=st.integers(0, 4))
+def test_round_ratio_is_exact_half_up(spark, pairs, scale):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from tidemark.functions.exprs import round_ratio
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [r[0] for r in df.select(round_ratio("n", "d", scale)).collect()]
+    q = Decimal(1).scaleb(-scale)
+    want = [(Decimal(n) / Decimal(d)).quantize(q, rounding=ROUND_HALF_UP) for n, d in pairs]
+    assert got == want
