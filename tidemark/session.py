@@ -9,7 +9,6 @@ the cluster names in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -59,13 +58,13 @@ def apply_core_conf(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from the session; only when the cluster names none (local tests) a
-    folder of our own is created and registered.
+    Read from the session; where it names none (local tests) a folder beside
+    the session's own warehouse, which a cluster shares too.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
