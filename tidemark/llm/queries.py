@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing
+from tidemark.llm import chat, linededup, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,3 +55,66 @@ FROM c
 def op10_mix(spark, sf):
     return mixing.mix_plan(table(spark, sf, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+OP3_SQL = r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place FROM t),
+h AS (SELECT *, list((role, text)) OVER (PARTITION BY conv_id ORDER BY place) AS pre,
+             count(*) OVER (PARTITION BY conv_id) AS n FROM p),
+w AS (SELECT pre, n, min(conv_id) AS conv_id, count(*) AS copies FROM h WHERE place = n GROUP BY pre, n),
+k AS (SELECT * FROM w WHERE pre NOT IN (SELECT pre FROM h WHERE place < n))
+SELECT k.conv_id, (p.place - 1) // 64 AS part, k.n::BIGINT AS n_turns, k.copies,
+  string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY place) AS text
+FROM k JOIN p ON k.conv_id IS NOT DISTINCT FROM p.conv_id GROUP BY ALL
+"""
+
+
+@query("op3_chat", OP3_SQL)
+def op3_chat(spark, sf):
+    return chat.format_chats(table(spark, sf, "conversations"))
+
+
+OP4_SQL = r"""
+WITH x AS (
+  SELECT page_id, coalesce(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.', ''), '') AS host,
+    list_filter(list_transform(string_split_regex(coalesce(
+      regexp_replace(regexp_replace(regexp_replace(html,
+        '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g'),
+        '(?i)</?(p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|nav|header|footer|article|section|title|body|head|html|blockquote|pre)\b[^>]*>', chr(10), 'g'),
+        '<[^>]*>', ' ', 'g'), ''), '[\r\n]+'),
+      lambda s: trim(regexp_replace(s, '\s+', ' ', 'g'))), lambda s: s <> '') AS lines
+  FROM pages),
+d AS (SELECT DISTINCT page_id, host, lines FROM x),
+c AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM d) GROUP BY host, line),
+b AS (SELECT c.host, list(c.line) AS gone FROM c JOIN (SELECT host, count(*) AS total FROM d GROUP BY host) h ON c.host = h.host
+      WHERE n >= 3 AND n > 0.2 * total GROUP BY c.host),
+k AS (SELECT page_id, d.host, lines, list_filter(lines, lambda s: NOT coalesce(list_contains(gone, s), false)) AS kept
+      FROM d LEFT JOIN b ON d.host = b.host)
+SELECT page_id, host, len(lines)::INT AS n_lines, (len(lines) - len(kept))::INT AS n_dropped, array_to_string(kept, chr(10)) AS text
+FROM k
+"""
+
+
+@query("op4_line_dedup", OP4_SQL)
+def op4_line_dedup(spark, sf):
+    return linededup.drop_boilerplate(table(spark, sf, "pages"))
+
+
+SHARD_BYTES = 8 << 20
+
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key,
+                  coalesce(strlen(text), 0)::BIGINT + 64 AS bytes FROM documents),
+p AS (SELECT d.*, depth::INT AS depth, key >> (60 - depth) AS prefix FROM d, range(0, 21) r(depth)),
+b AS (SELECT *, sum(bytes) OVER (PARTITION BY depth, prefix)::BIGINT AS shard_bytes,
+             count(*) OVER (PARTITION BY depth, prefix) AS n FROM p),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS k FROM b WHERE shard_bytes <= {SHARD_BYTES} OR n = 1)
+SELECT doc_id, bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(ltrim(bin(prefix), '0'), depth, '0') END AS shard,
+       depth, 0::INT AS part, shard_bytes FROM f WHERE k = 1
+"""
+
+
+@query("op7_shard", OP7_SQL)
+def op7_shard(spark, sf):
+    return sharding.shard(table(spark, sf, "documents"), SHARD_BYTES)
