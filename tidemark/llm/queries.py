@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, linededup, mixing, sharding
+from tidemark.llm import chat, linededup, mixing, nearjoin, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -118,3 +118,25 @@ SELECT doc_id, bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(ltrim(bin(prefix), '
 @query("op7_shard", OP7_SQL)
 def op7_shard(spark, sf):
     return sharding.shard(table(spark, sf, "documents"), SHARD_BYTES)
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3]) END) AS g FROM d),
+n AS (SELECT doc_id, len(g)::BIGINT AS n FROM s),
+x AS (SELECT doc_id, unnest(g) AS t FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM x a JOIN x b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * o >= 85 * (na.n + nb.n - o)),
+r AS (SELECT a AS doc_id, a AS seen FROM (SELECT DISTINCT a FROM l)
+      UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.seen = l.a)
+SELECT n.doc_id, n.n AS n_shingles, coalesce(min(r.seen), n.doc_id) AS component_id
+FROM n LEFT JOIN r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
+
+@query("op8_ngram_join", OP8_SQL)
+def op8_ngram_join(spark, sf):
+    return nearjoin.near_components(table(spark, sf, "documents"), k=4, percent=85).select(
+        "doc_id", "n_shingles", "component_id")
