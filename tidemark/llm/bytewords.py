@@ -25,6 +25,9 @@ NOT_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x
 #: Letters and all bytes of non-ASCII characters make words.
 NOT_LETTER = NOT_ALNUM.copy()
 NOT_LETTER[0x30:0x3A] = True
+#: First bytes of characters that are not white space (C2, E1, E2 and E3 may begin one that is).
+SOLID = ~SPACES
+SOLID[[0xC2, 0xE1, 0xE2, 0xE3]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
@@ -32,7 +35,7 @@ LOWER[0x41:0x5B] += 0x20
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least n of each."""
     if len(_powers[0]) < n:
-        n = max(n, PIECE_BYTES + 4096)
+        n = max(n + n // 8, PIECE_BYTES + 4096)
         for i, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
             p = np.full(n, b, np.uint64)
             p[0] = 1
@@ -76,8 +79,9 @@ def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]: at[-1]], at - at[0]
 
 
-def pieces(column: pa.Array, gap: np.ndarray, size: int = PIECE_BYTES) -> Iterator[Piece]:
-    """The texts in order, cut to about ``size`` bytes where a ``gap`` byte stands.
+def pieces(column: pa.Array, gap: np.ndarray, size: int = PIECE_BYTES, single: bool = False) -> Iterator[Piece]:
+    """The texts in order, cut to about ``size`` bytes where a ``gap`` byte stands
+    (``single``: and a character that is surely no white space comes next).
 
     A text that has no gap in ``size`` bytes is cut at the first one after."""
     data, at = strings(column)
@@ -93,7 +97,11 @@ def pieces(column: pa.Array, gap: np.ndarray, size: int = PIECE_BYTES) -> Iterat
         end = int(at[row + 1])
         stop = start + size
         while stop < end:
-            window = np.flatnonzero(gap[data[stop: min(end, stop + 65536)]])
+            far = min(end, stop + 65536)
+            window = gap[data[stop: far]]
+            if single:
+                window = window & SOLID[np.append(data[stop + 1: far + 1], 0x20)[: far - stop]]
+            window = np.flatnonzero(window)
             if len(window):
                 stop += int(window[0])
                 break

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, linededup, mixing, nearjoin, sharding
+from tidemark.llm import chat, linededup, mixing, nearjoin, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -140,3 +140,8 @@ FROM n LEFT JOIN r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n
 def op8_ngram_join(spark, sf):
     return nearjoin.near_components(table(spark, sf, "documents"), k=4, percent=85).select(
         "doc_id", "n_shingles", "component_id")
+
+
+@query("op1_pack")
+def op1_pack(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))
