@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import chat, linededup, mixing, nearjoin, packing, sharding
+from tidemark.llm import chat, langid, linededup, mixing, nearjoin, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -145,3 +146,16 @@ def op8_ngram_join(spark, sf):
 @query("op1_pack")
 def op1_pack(spark, sf):
     return packing.pack(table(spark, sf, "documents"))
+
+
+def held_out(doc_id):
+    """Documents that nothing is learned from: crc32 of the id as text, mod 4, is 2."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
+
+
+@query("op2_langid")
+def op2_langid(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~held_out(F.col("doc_id"))))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "__language.lang_pred", "__language.score")
