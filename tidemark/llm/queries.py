@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, langid, linededup, mixing, nearjoin, packing, sharding
+from tidemark.llm import chat, langid, licenses, linededup, maxscore, mixing, nearjoin, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -159,3 +159,29 @@ def op2_langid(spark, sf):
     model = langid.fit(docs.where(~held_out(F.col("doc_id"))))
     return langid.predict(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "__language.lang_pred", "__language.score")
+
+
+OP6_SQL = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op6_maxscore", OP6_SQL)
+def op6_maxscore(spark, sf):
+    return maxscore.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op9_licenses")
+def op9_licenses(spark, sf):
+    found = licenses.scan(table(spark, sf, "documents"))
+    joined = lambda *c: F.array_join(F.array_sort(F.array_distinct(F.concat(*c))), ",")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.first").alias("first_word"), F.array_max("places.first").alias("last_word"),
+        joined("places.label").alias("base_labels"), joined("places.label", "detections.label").alias("labels"),
+        F.col("confidence").alias("score"))
