@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, langid, licenses, linededup, maxscore, mixing, nearjoin, packing, sharding
+from tidemark.llm import chat, decontam, langid, licenses, linededup, maxscore, mixing, nearjoin, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -185,3 +185,27 @@ def op9_licenses(spark, sf):
         F.array_min("places.first").alias("first_word"), F.array_max("places.first").alias("last_word"),
         joined("places.label").alias("base_labels"), joined("places.label", "detections.label").alias("labels"),
         F.col("confidence").alias("score"))
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT * FROM (SELECT item_id, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) >= 8),
+m AS (SELECT unnest([[0,1,3,4,6,7], [0,2,3,4,5,7], [0,1,2,5,6,7]]) AS o),
+ds AS (SELECT doc_id, p, o, array_to_string(list_transform(o, lambda k: w[p + k + 1]), ' ') AS seed
+       FROM (SELECT doc_id, w, unnest(range(0, len(w) - 7)) AS p FROM d), m),
+bs AS (SELECT item_id, p, o, array_to_string(list_transform(o, lambda k: w[p + k + 1]), ' ') AS seed
+       FROM (SELECT item_id, w, unnest(range(0, len(w) - 7)) AS p FROM b), m),
+h AS (SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS start FROM ds JOIN bs ON ds.seed = bs.seed AND ds.o = bs.o),
+a AS (SELECT h.*, len(b.w) AS n_item,
+        list_transform(range(greatest(0, -start), least(len(b.w), len(d.w) - start)), lambda i: (b.w[i + 1] = d.w[i + 1 + start])::INT) AS same
+      FROM h JOIN d USING (doc_id) JOIN b USING (item_id)),
+v AS (SELECT *, list_sum(same) AS n_equal FROM a WHERE len(same) >= least(13, n_item)
+      AND len(list_filter(range(0, len(same) - least(13, n_item) + 1), lambda i: 100 * list_sum(same[i + 1 : i + least(13, n_item)]) >= 80 * least(13, n_item))) > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, start) AS k FROM v)
+SELECT doc_id, item_id, start::INT AS start, len(same)::INT AS n_aligned, n_equal::INT AS n_equal FROM r WHERE k = 1
+"""
+
+
+@query("op5_decontam", OP5_SQL)
+def op5_decontam(spark, sf):
+    return decontam.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("text_key")
