@@ -70,7 +70,7 @@ def maximal(turns: DataFrame) -> DataFrame:
     # equal conversations: one row each, with the smallest id
     first = whole.groupBy("n", "h1", "h2").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("copies"))
     longer = turns.join(whole.select(F.col("conv_id").alias("__c"), "n"), F.col("conv_id").eqNullSafe(F.col("__c"))).where(
-        F.col("place") < F.col("n")).select(F.col("place").alias("n"), "h1", "h2")
+        F.col("place") < F.col("n")).select(F.col("place").alias("n"), "h1", "h2").distinct()  # one common first turn, one row
     return first.join(longer, ["n", "h1", "h2"], "left_anti").select(
         "conv_id", F.col("n").alias("n_turns"), "copies")
 
