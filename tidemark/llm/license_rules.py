@@ -133,7 +133,8 @@ def rules() -> list[tuple[int, str, str, str]]:
     for line in RULES.strip().splitlines():
         head, keyword, patterns = (x.strip() for x in line.split(" | ", 2))
         label, _, versions = head.partition(": ")
-        for v in [x.strip() for x in versions.split(",")] if versions else [""]:
+        # the longer version first: 2.1 is not a 2
+        for v in sorted((x.strip() for x in versions.split(",")), key=len, reverse=True):
             said = v.replace(".", " ").replace("-", " ")
             out += [(label.replace("{v}", v), keyword, p.strip().replace("{v}", said)) for p in patterns.split(" ; ")]
     return [(len(out) - i, *x) for i, x in enumerate(out)]
