@@ -34,9 +34,8 @@ PROBE = 8  # terms probed at once
 EXACT = 2.0**53
 
 
-def integers(column: pa.Array) -> tuple[np.ndarray, bool]:
-    """Rows of floor(256 x), shorter ones padded with zeros; whether every inner
-    product among such rows is exact in floating point is for the caller."""
+def integers(column: pa.Array) -> np.ndarray:
+    """Rows of floor(256 x), shorter ones padded with zeros."""
     rows = [256 * np.asarray(x, np.float64) for x in column.to_pylist()]
     width = max(map(len, rows), default=0)
     out = np.zeros((len(rows), width))
@@ -99,9 +98,9 @@ def shard_top(vectors: pa.Table, queries: pa.Table, k: int) -> pa.Table:
             scores = (v[at] @ q[i]).astype(np.int64).tolist()
         else:  # components so large that products need whole numbers of any size
             mine = [int(y) for y in q[i]]
-            whole = [sum(int(x) * y for x, y in zip(r, mine)) for r in v]
+            whole = [max(-2**63, min(2**63 - 1, sum(int(x) * y for x, y in zip(r, mine)))) for r in v]
             at = sorted((j for j in range(len(v)) if ids[j] != own[i]), key=lambda j: (-whole[j], ids[j]))[:k]
-            scores = [max(-2**63, min(2**63 - 1, whole[j])) for j in at]
+            scores = [whole[j] for j in at]
         out_q += [own[i]] * len(at)
         out_k += [keys[i]] * len(at)
         out_v += ids[at].tolist() if len(at) else []
