@@ -10,9 +10,10 @@ different sets counts, and a document's component is what links reach.
    order puts shingles that many documents hold last.  A shingle that is
    frequent even so is routed by size band as well: linked sets lie in the same
    band or the next one.
-3. *Contraction.*  Each class is compared with one pivot, the class it shares
-   most routes with; pivots that link pull groups of near copies together, so
-   the pairs within such a group need not be looked at.
+3. *Contraction.*  Each class is compared with a few others, of similar size, that
+   it shares routes with; those that link pull groups of near copies together,
+   so the pairs within such a group need not be looked at.  Done ``contract``
+   times over what is still open.
 4. *Signature trees.*  For every route that still holds several components, a
    tree over the classes in order of size: a leaf is a class with its shingle
    bitmap, a node the OR of its children's bitmaps with their range of sizes,
@@ -23,8 +24,8 @@ different sets counts, and a document's component is what links reach.
    verified on the whole sets.
 
 Routes are cut into blocks, and pairs of blocks are tasks of their own, so a
-route of any size needs bounded memory.  ``contract=False`` leaves step 3 out;
-the results agree.
+route of any size needs bounded memory.  ``contract=0`` leaves step 3 out; the
+results agree.
 
 Defined results
 ---------------
@@ -43,7 +44,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as B
@@ -57,6 +58,10 @@ from tidemark.session import materialize
 FREQUENT = 65_536
 #: Classes of one route that one task holds on either side.
 BLOCK = 8_192
+#: Rows of routes that one task walks together (more are cut by route).
+ANCHOR_ROWS = 262_144
+#: Classes that one class is compared with in a round of contraction.
+CONTRACT_PAIRS = 4
 FANOUT = 8
 
 
@@ -105,8 +110,8 @@ def bitmap(h: np.ndarray) -> bytes:
 
 
 def summaries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n, d1, d2, routes, bits: one row per document.  Routes and bits are
-    null for a set that the task has met before."""
+    """doc_id, text_key, n, d1, d2, routes, bits: one row per document.  Routes and
+    bits are null for a set that the task has met before."""
     band_width = math.log(100 / percent) * 1.0001
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -139,56 +144,105 @@ def summaries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Da
                 if len(seen) > 1 << 20:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, last - first), pa.array(sizes, pa.int64()), pa.array(d1.view(np.int64)),
+                    [ids.slice(first, last - first), batch.column(2).slice(first, last - first), pa.array(sizes, pa.int64()), pa.array(d1.view(np.int64)),
                      pa.array(d2.view(np.int64)), pa.array(routes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                    ["doc_id", "n", "d1", "d2", "routes", "bits"])
+                    ["doc_id", "text_key", "n", "d1", "d2", "routes", "bits"])
 
-    return docs.mapInArrow(each, "doc_id long, n long, d1 long, d2 long, routes array<long>, bits binary")
+    return docs.mapInArrow(each, "doc_id long, text_key long, n long, d1 long, d2 long, routes array<long>, bits binary")
 
 
 def shared_routes(entries: DataFrame, percent: int) -> DataFrame:
-    """(route, n, c) -> the rows of routes with two classes or more, each with a
-    pivot: the first class on the route, by size, that is large enough to link."""
+    """(route, n, c) -> those that meet a class of a size that allows a link."""
     def stream(batches):
         held = np.zeros((0, 4), np.int64)  # of the last route: route, n, c, whether it is out already
         for batch in batches:
             rows = np.stack([np.asarray(batch.column(i)) for i in range(3)] + [np.zeros(batch.num_rows, np.int64)], 1)
-            out, held = pivots(np.concatenate([held, rows]), percent)
+            out, held = meeting(np.concatenate([held, rows]), percent)
             if len(out):
-                yield pa.RecordBatch.from_arrays([pa.array(out[:, i]) for i in range(4)], ["route", "n", "c", "pivot"])
+                yield pa.RecordBatch.from_arrays([pa.array(out[:, i]) for i in range(3)], ["route", "n", "c"])
 
     return (entries.repartition("route").sortWithinPartitions("route", "n", "c")
-            .mapInArrow(stream, "route long, n long, c long, pivot long"))
+            .mapInArrow(stream, "route long, n long, c long"))
 
 
-def pivots(rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows sorted by route, n, c -> (route, n, c, pivot) of those to give out, and
-    what to hold of the last route: the first class of every size."""
+def meeting(rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by route, n, c, and a mark of those given out -> the rows to give
+    out, and those of the last route that later rows may yet meet."""
     if not len(rows):
         return rows, rows
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:, :3] != rows[:-1, :3]).any(1)
     rows = rows[new]
-    first = np.ones(len(rows), bool)
-    first[1:] = rows[1:, 0] != rows[:-1, 0]
-    run = np.cumsum(first) - 1
-    length = np.bincount(run)
-    # place of the first row of the run with 100 n >= percent * own n
-    wide = int(rows[:, 1].max()) + 2
-    least = (percent * rows[:, 1] + 99) // 100
-    at = np.searchsorted(run * wide + rows[:, 1], run * wide + least)
-    give = (length[run] > 1) & (rows[:, 3] == 0)
-    out = np.stack([rows[:, 0], rows[:, 1], rows[:, 2], rows[at, 2]], 1)[give]
-    last = rows[run == run[-1]]
-    keep = np.ones(len(last), bool)
-    keep[1:] = last[1:, 1] != last[:-1, 1]
-    keep[-1] = True  # to know a repeat of it
-    last = last[keep]
-    if length[-1] > 1:
-        last[:, 3] = 1
+    # in order of size, a row has a partner that may link if a neighbour is one
+    near = np.zeros(len(rows), bool)
+    near[1:] = (rows[1:, 0] == rows[:-1, 0]) & (100 * rows[:-1, 1] >= percent * rows[1:, 1])
+    near[:-1] |= near[1:]
+    out = rows[near & (rows[:, 3] == 0), :3]
+    last = rows[-1:].copy()
+    last[:, 3] |= near[-1:]
     return out, last
 
 
+def size_window(route, n, percent):
+    """Of rows sorted by route and n: the run of each row, and the first and last
+    row of the run such that the smaller size is ``percent`` in a hundred of the larger."""
+    first = np.ones(len(route), bool)
+    first[1:] = route[1:] != route[:-1]
+    run = np.cumsum(first) - 1
+    wide = int(n.max()) * 100 // percent + 2
+    place = run * wide
+    low = np.searchsorted(place + n, place + (percent * n + 99) // 100)
+    return run, low, np.searchsorted(place + n, place + 100 * n // percent, "right") - 1
+
+
+def undecided(rows: DataFrame, percent: int) -> DataFrame:
+    """(route, n, c, label) -> the rows that meet a class of another component, of a
+    size that allows a link, on their route; and one such class of similar size."""
+    def stream(batches):
+        held = np.zeros((0, 5), np.int64)  # the rows, and whether they are out already
+        for batch in batches:
+            held = np.concatenate([held, np.stack([*(np.asarray(batch.column(i)) for i in range(4)),
+                                                   np.zeros(batch.num_rows, np.int64)], 1)])
+            # rows are decided once a larger size than they can link with has come
+            route, n = held[:, 0], held[:, 1]
+            done = (route != route[-1]) | (100 * n < percent * n[-1])
+            yield from give(held, done & (held[:, 4] == 0))
+            held[done, 4] = 1
+            # smaller rows stay while later ones may link with them
+            held = held[(route == route[-1]) & (100 * 100 * n >= percent * percent * n[-1])]
+        if len(held):
+            yield from give(held, held[:, 4] == 0)
+
+    def give(held, done):
+        other = partners(held[:, :4], percent)
+        keep = (other >= 0) & done
+        if keep.any():
+            out = [*held[keep, :4].T, held[other[keep], 2]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["route", "n", "c", "label", "partner"])
+
+    return (rows.repartition("route").sortWithinPartitions("route", "n", "label")
+            .mapInArrow(stream, "route long, n long, c long, label long, partner long"))
+
+
+def partners(rows: np.ndarray, percent: int) -> np.ndarray:
+    """Rows sorted by route, n, label -> for each the place of a row of another
+    label whose size allows a link, or -1.  Preferred is any one of nearly the
+    row's size, picked by a hash of route and class; then the nearest."""
+    route, n, _, label = rows.T
+    run, low, high = size_window(route, n, percent)
+    change = np.ones(len(rows), bool)
+    change[1:] = (label[1:] != label[:-1]) | (run[1:] != run[:-1])
+    block = np.cumsum(change) - 1
+    starts = np.append(np.flatnonzero(change), len(rows))
+    before, after = starts[block] - 1, starts[block + 1]
+    other = np.where(after <= high, after, -1)
+    other = np.where(before >= low, before, other)
+    _, near, far = size_window(route, n, 97)
+    pick = B.mix(B.mix(route.view(np.uint64)) + rows[:, 2].view(np.uint64)) % (far - near + 1).astype(np.uint64)
+    pick = near + pick.astype(np.int64)
+    return np.where(label[pick] != label, pick, other)
+
+
 # ---- trees ----------------------------------------------------------------
 class Tree:
     """Levels of nodes over classes that share a bitmap width, leaves in order of size."""
@@ -288,13 +342,37 @@ def route_pairs(n, c, label, bits, side, percent):
                         yield c[at_x[i]], c[at_y[j]]
 
 
+def small_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Routes of at most FANOUT classes are trees of one node: their leaf pairs,
+    distinct, with sizes and components that allow a link."""
+    def stream(batches):
+        held = np.zeros((0, 4), np.int64)
+        for batch in batches:
+            held = np.concatenate([held, np.stack([np.asarray(batch.column(i)) for i in range(4)], 1)])
+            last = held[:, 0] == held[-1, 0]
+            yield from give(held[~last])
+            held = held[last]
+        yield from give(held)
+
+    def give(x):
+        for d in range(1, FANOUT):
+            p, q = x[:-d], x[d:]
+            ok = (p[:, 0] == q[:, 0]) & (p[:, 3] != q[:, 3]) & (100 * p[:, 1] >= percent * q[:, 1])
+            if ok.any():
+                u, v = p[ok, 2], q[ok, 2]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+
+    return (rows.select("route", "n", "c", "label").repartition("route").sortWithinPartitions("route", "n")
+            .mapInArrow(stream, "a long, b long").distinct())
+
+
 def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(route, n, c, label, bits) of routes with several components -> distinct (a, b)."""
-    counts = rows.groupBy(F.col("route").alias("__r")).agg(F.count("*").alias("__n"))
-    cut = rows.join(counts, F.col("route") == F.col("__r")).withColumn("blocks", F.ceil(F.col("__n") / BLOCK).cast("int"))
+    """(anchor, route, n, c, label, bits, size) of routes with several components ->
+    distinct (a, b)."""
+    cut = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     mine = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
     spread = (cut.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("route", F.least("mine", "other").alias("g1"), F.greatest("mine", "other").alias("g2"),
+              .select("anchor", "route", F.least("mine", "other").alias("g1"), F.greatest("mine", "other").alias("g2"),
                       F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"),
                       "n", "c", "label", "bits"))
 
@@ -310,15 +388,42 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield from one(held)
 
+    met: dict = {"anchor": None, "pairs": np.zeros(0, np.uint64)}
+
     def one(group):
         n, c, label, side = (np.asarray(group.column(x)).astype(np.int64) for x in ("n", "c", "label", "side"))
-        for a, b in route_pairs(n, c, label, group.column("bits").to_pylist(), side, percent):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    return (spread.repartition("route", "g1", "g2").sortWithinPartitions("route", "g1", "g2")
+        if met["anchor"] != (now := group.column("anchor")[0].as_py()) or len(met["pairs"]) > 4 << 20:
+            met.update(anchor=now, pairs=np.zeros(0, np.uint64))
+        got = list(route_pairs(n, c, label, group.column("bits").to_pylist(), side, percent))
+        if not got:
+            return
+        a, b = (np.concatenate(x) for x in zip(*got))
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        # pairs that an earlier route of the anchor gave need not come again
+        h = B.mix(B.mix(a.view(np.uint64)) + b.view(np.uint64))
+        new = ~among(met["pairs"], h)
+        met["pairs"] = np.union1d(met["pairs"], h)
+        yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
+
+    return (spread.repartition("anchor", "g1", "g2").sortWithinPartitions("anchor", "route", "g1", "g2")
             .mapInArrow(walk, "a long, b long").distinct())
 
 
+def anchored(rows: DataFrame) -> DataFrame:
+    """Rows of routes with an ``anchor``, a class that routes with common members
+    tend to share: the least class of the neighbourhood.  Routes of an anchor are
+    walked by one task, which gives a pair once, as long as they are few enough."""
+    least = rows.groupBy("route").agg(F.min("c").alias("__m"))
+    reach = rows.join(least, "route").groupBy("c").agg(F.min("__m").alias("__m"))
+    anchors = materialize(rows.join(reach, "c").groupBy("route").agg(
+        F.min("__m").alias("anchor"), F.count("*").alias("__rows")), "near-anchors")
+    whole = anchors.groupBy("anchor").agg(F.sum("__rows").alias("__all"))
+    parts = F.ceil(F.col("__all") / ANCHOR_ROWS)
+    shares = anchors.join(whole, "anchor").select(
+        "route", F.xxhash64("anchor", F.pmod(F.xxhash64("route"), parts)).alias("anchor"))
+    return rows.join(shares, "route")
+
+
 # ---- verification ----------------------------------------------------------
 def class_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """(c, words): the whole sets of the wanted classes; ids has (doc_id, c)."""
@@ -377,11 +482,16 @@ def bits_fit(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         each, "a long, b long")
 
 
+def text_key(text):
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-                    contract: bool = True) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, class_id, n_linked
-    (classes in the component)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+                    contract: int = 3) -> DataFrame:
+    """One row per document: doc_id, text_key, n_shingles, component_id, class_id,
+    component (a class that stands for all of it), n_linked (classes in it)."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       text_key(F.col(text_col)).alias("text_key"))
     every = materialize(summaries(docs, k, percent, frequent_shingles(docs.select("text"), k)), "near-summaries")
     # class c is named by the first digest
     named = every.where("n > 0").groupBy(F.col("d1").alias("c")).agg(F.min("doc_id").alias("doc_id"))
@@ -390,7 +500,6 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     classes = materialize(
         every.where("bits is not null").select(F.col("d1").alias("c"), "n", "bits")
         .join(shared.select("c").distinct(), "c", "left_semi").dropDuplicates(["c"]), "near-classes")
-    found = None
 
     def link(pairs):
         pairs = materialize(pairs, "near-candidates")
@@ -401,31 +510,63 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         sets = materialize(class_sets(docs, ids, k), "near-sets")
         return materialize(verified(pairs, sets, percent), "near-links")
 
-    if contract:
-        best = (shared.where("pivot <> c").groupBy("c", "pivot").agg(F.count("*").alias("m"))
-                .groupBy("c").agg(F.max(F.struct("m", "pivot")).alias("best"))
-                .select(F.col("c").alias("a"), F.col("best.pivot").alias("b")))
-        found = link(bits_fit(best, classes, percent))
-    labelled = shared.select("route", "n", "c")
-    if found is not None:
-        labels = components(found).select(F.col("node").alias("c"), "label")
-        labelled = labelled.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    else:
-        labelled = labelled.withColumn("label", F.col("c"))
-    labelled = materialize(labelled, "near-labelled")
-    mixed = labelled.groupBy("route").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("route")
-    rows = labelled.join(mixed, "route", "left_semi").join(classes.select("c", "bits"), "c")
-    more = link(tree_pairs(rows.select("route", "n", "c", "label", "bits"), percent))
-    links = [x for x in (found, more) if x is not None]
+    def still_open(labels):
+        now = shared.withColumn("label", F.col("c"))
+        if labels is not None:
+            now = shared.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
+        return materialize(undecided(now.select("route", "n", "c", "label"), percent), "near-undecided")
+
+    labels, tried, open_rows = None, None, still_open(None)
+    for _ in range(contract):
+        votes = open_rows.groupBy("c", "partner").agg(F.count("*").alias("m"))
+        if tried is not None:
+            votes = votes.join(tried, ["c", "partner"], "left_anti")
+        # of one row per route of the class at most
+        rank = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("m"), F.xxhash64("c", "partner")))
+        best = materialize(votes.withColumn("k", rank).where(F.col("k") <= CONTRACT_PAIRS).select(
+            F.col("c").alias("a"), F.col("partner").alias("b")), "near-best")
+        both = best.select(F.col("a").alias("c"), F.col("b").alias("partner"))
+        both = both.unionByName(both.select(F.col("c").alias("partner"), F.col("partner").alias("c")))
+        tried = both if tried is None else tried.unionByName(both)
+        found = link(bits_fit(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), classes, percent))
+        if found is None or found.isEmpty():
+            break
+        labels = components(found, labels)
+        open_rows = still_open(labels)
+    sizes = open_rows.groupBy(F.col("route").alias("__r")).agg(F.count("*").alias("size"))
+    sized = materialize(open_rows.drop("partner").join(sizes, F.col("route") == F.col("__r")).drop("__r"), "near-sized")
+    large = anchored(sized.where(F.col("size") > FANOUT)).join(classes.select("c", "bits"), "c")
+    few = bits_fit(materialize(small_pairs(sized.where(F.col("size") <= FANOUT), percent), "near-small"), classes, percent)
+    more = link(few.unionByName(tree_pairs(large, percent)).distinct())
+    labels = labels if more is None else components(more, labels)
     whole = named.withColumn("label", F.col("c"))
-    if links:
-        all_links = links[0] if len(links) == 1 else links[0].unionByName(links[1])
-        whole = named.join(components(all_links).select(F.col("node").alias("c"), "label"), "c", "left").withColumn(
-            "label", F.coalesce("label", "c"))
+    if labels is not None:
+        whole = named.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
     whole = materialize(whole, "near-named")
     top = whole.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_linked"))
-    member = whole.join(top, "label").select(F.col("c").alias("class_id"), "component_id", "n_linked")
-    return (every.select("doc_id", "n", F.when(F.col("n") > 0, F.col("d1")).alias("class_id")).join(member, "class_id", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
+    member = whole.join(top, "label").select(F.col("c").alias("class_id"), F.col("label").alias("component"), "component_id", "n_linked")
+    return (every.select("doc_id", "text_key", "n", F.when(F.col("n") > 0, F.col("d1")).alias("class_id")).join(member, "class_id", "left")
+            .select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component",
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     "class_id", F.coalesce("n_linked", F.lit(1)).alias("n_linked")))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their columns, of which one stays of every component:
+    the one with the smallest id.  Texts without words all stay."""
+    found = materialize(near_components(docs, k, percent, id_col, text_col).where("component is not null")
+                        .groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("rows")), "near-found")
+    first = found.groupBy(F.col("component").alias("__c")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
+    judged = found.join(first, F.col("component") == F.col("__c")).select(
+        F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), "rows",
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))).alias("stays"))
+    judged = materialize(judged.where(~F.col("stays") | (F.col("rows") > 1)), "near-judged")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__d")) & (text_key(F.col(text_col)) == F.col("__t"))
+    kept = docs.join(maybe_broadcast(judged.select("__d", "__t")), same, "left_anti")
+    repeated = judged.where("stays")
+    if repeated.isEmpty():
+        return kept
+    # rows that are there several times: one of them, combined before it is shuffled
+    again = docs.join(maybe_broadcast(repeated.select("__d", "__t")), same).dropDuplicates(["__d", "__t"])
+    return kept.unionByName(again.select(*[F.col(f"`{c}`") for c in docs.columns]))
