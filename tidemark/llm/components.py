@@ -1,35 +1,49 @@
-"""Connected components by minimum labels and pointer jumping."""
+"""Connected components by hooking labels."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.relational import maybe_broadcast
 from tidemark.session import materialize
 
+ROWS_PER_TASK = 500_000
 
-def components(links: DataFrame) -> DataFrame:
+
+def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """(a, b) links of longs -> (node, label), the smallest node reachable.
 
-    Every round takes the smallest label among a node and its neighbours, then
-    the label of that label, so a chain of n links needs about log n rounds.
-    Labels are written each round; minima are combined map-side and joins on a
-    hub are equalities, which adaptive execution splits."""
+    Nodes that share a label move together: every round each label becomes the
+    smallest one that any of its nodes hears of over a link, and that label's own
+    new one in turn, so a chain of n links needs about log n rounds.  ``start``
+    gives labels that are known already (of links that need not come again).
+    Labels are written each round and minima are combined map-side; no
+    neighbourhood is ever gathered."""
     one = links.where("a <> b").select("a", "b")
     edges = materialize(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
-    labels = materialize(edges.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("b"), F.col("node")).alias("label")), "cc-labels")
+    labels = edges.select(F.col("a").alias("node"), F.col("a").alias("label"))
+    if start is not None:
+        labels = labels.unionByName(start.select("node", "label"))
+    # as many tasks as the rows are worth, for tables that many rounds read
+    tasks = 1 + (edges.count() + (start.count() if start is not None else 0)) // ROWS_PER_TASK
+
+    def keep(df, name):
+        return materialize(df.coalesce(tasks), name)
+
+    # a start label is a node of the same component and never larger than the node
+    labels = keep(labels.groupBy("node").agg(F.min("label").alias("label")), "cc-labels")
     while True:
-        heard = (edges.join(labels.select(F.col("node").alias("b"), "label"), "b")
-                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard")))
-        hooked = labels.join(heard, "node").select("node", "label", F.least("label", "heard").alias("next"))
-        # a label that heard of a smaller one passes it on to all that carry it
-        roots = hooked.groupBy(F.col("label").alias("root")).agg(F.min("next").alias("to"))
-        step = (hooked.join(roots, F.col("label") == F.col("root"))
-                .select("node", F.col("label").alias("was"), F.least("next", "to").alias("label")))
-        above = step.select(F.col("node").alias("__n"), F.col("label").alias("__l"))
-        step = materialize(step.join(above, F.col("label") == F.col("__n"), "left").select(
-            "node", "was", F.least("label", F.coalesce("__l", "label")).alias("label")), "cc-labels")
-        labels = step.select("node", "label")
-        if step.where("was <> label").isEmpty():
-            return labels
+        over = (edges.join(maybe_broadcast(labels.withColumnRenamed("node", "b")), "b")
+                .select(F.col("a").alias("node"), F.lit(None).cast("long").alias("label"), F.col("label").alias("heard")))
+        heard = keep(labels.withColumn("heard", F.col("label")).unionByName(over).groupBy("node").agg(
+            F.max("label").alias("label"), F.min("heard").alias("heard")), "cc-heard")
+        moves = keep(heard.where("heard < label").groupBy(F.col("label").alias("root")).agg(
+            F.min("heard").alias("to")), "cc-moves")
+        if moves.isEmpty():
+            return heard.select("node", "label")
+        labels = heard.select("node", "label")
+        for _ in range(2):
+            labels = (labels.join(maybe_broadcast(moves), F.col("label") == F.col("root"), "left")
+                      .select("node", F.coalesce("to", "label").alias("label")))
+        labels = keep(labels, "cc-labels")
