@@ -145,3 +145,32 @@ def test_broadcast_and_shuffle_paths_agree(spark):
     assert rows(small) == rows(big) and len(rows(small)) == 50
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_partition_merge_keeps_the_null_partition(spark, tmp_dir):
+    """Rows that no change names stay, in the NULL partition and in one whose
+    name needs escaping; a partition left empty goes."""
+    from tidemark.sources.tables import merge_into_partitions
+    rows = [(1, "a/b", "x"), (2, "a/b", "x"), (3, None, "x"), (4, None, "x"), (5, "gone=1", "x")]
+    spark.createDataFrame(rows, "id int, part string, v string").write.partitionBy("part").parquet(tmp_dir + "/t")
+    latest = spark.createDataFrame([(3, None, "new", "U"), (1, None, "moved", "U"), (5, "gone=1", "x", "D")],
+                                   "id int, part string, v string, Op string")
+    merge_into_partitions(spark, tmp_dir + "/t", latest, ["id"], "part")
+    got = sorted((r.id, r.part, r.v) for r in spark.read.parquet(tmp_dir + "/t").collect())
+    assert got == [(1, None, "moved"), (2, "a/b", "x"), (3, None, "new"), (4, None, "x")]
+
+
+def test_blank_keys_are_rejected_and_stale_changes_ignored_alike(spark, tmp_dir):
+    from tidemark.sources.tables import VersionedTable
+    from tidemark.streaming import changes as ST
+    load = spark.sql("SELECT * FROM VALUES ('1', 'new', 'I', timestamp'2024-02-01'), (' ', 'none', 'I', timestamp'2024-02-01') "
+                     "AS t(customer_id, customer_city, Op, dms_ts)")
+    old = spark.sql("SELECT '1' AS customer_id, 'old' AS customer_city, 'U' AS Op, timestamp'2024-01-01' AS dms_ts")
+    table = VersionedTable(spark, tmp_dir + "/versioned")
+    for k, batch in enumerate((load, old)):
+        ST.merge_batch(table, batch, ["customer_id"], k, ignore_stale=True)
+        ST.merge_batch_bucketed(spark, tmp_dir + "/bucketed", batch, ["customer_id"], k, 4, ignore_stale=True)
+    for df in (table.read(), spark.read.parquet(tmp_dir + "/bucketed")):
+        assert [(r.customer_id, r.customer_city) for r in df.collect()] == [("1", "new")]
+    for path in (table.path, tmp_dir + "/bucketed"):
+        assert [r.customer_city for r in ST.rejects(spark, path).collect()] == ["none"]

@@ -66,7 +66,8 @@ def test_command_line(spark, tmp_dir, capsys):
 
 
 def test_incremental_build_equals_full_rebuild(spark, tmp_dir):
-    """Second build with only affected orders gives the same fact as a full one."""
+    """Second build with only affected orders gives the same fact as a full one,
+    with a change that lands late and a later as-of time."""
     raw, cleansed = tmp_dir + "/raw", tmp_dir + "/cleansed"
     land(spark, raw, SMALL)
     J.raw_to_cleansed(spark, raw, cleansed, tmp_dir + "/ckpt")
@@ -76,18 +77,31 @@ def test_incremental_build_equals_full_rebuild(spark, tmp_dir):
     # more changes land after the first build: an order changes status, a customer moves
     upd = (X.orders(spark, SMALL).orderBy("order_id").limit(3)
            .withColumn("order_status", F.lit("canceled")).withColumn("Op", F.lit("U"))
-           .withColumn("dms_ts", F.lit("2024-03-01 00:00:00").cast("timestamp")))
+           .withColumn("dms_ts", F.lit("2000-01-01 00:00:00").cast("timestamp")))   # older than the first run
     upd.write.mode("append").parquet(f"{raw}/orders")
     cust = (spark.read.parquet(f"{raw}/customers").where("customer_id = '1000'").limit(1)
             .withColumn("customer_city", F.lit("Elsewhere")).withColumn("Op", F.lit("U"))
             .withColumn("dms_ts", F.lit("2024-03-01 00:00:00").cast("timestamp")))
     cust.write.mode("append").parquet(f"{raw}/customers")
     J.raw_to_cleansed(spark, raw, cleansed, tmp_dir + "/ckpt")
-    J.publish_curated(spark, full_dir, J.cleansed_to_curated(spark, cleansed, full_dir, X.RUN_TS[1], X.AS_OF_TS))
-    J.publish_curated(spark, inc_dir, J.cleansed_to_curated(spark, cleansed, inc_dir, X.RUN_TS[1], X.AS_OF_TS,
-                                                            since="2024-02-01 00:00:00"))
+    later = "2031-01-01 00:00:00"                     # open orders become overdue
+    J.publish_curated(spark, full_dir, J.cleansed_to_curated(spark, cleansed, full_dir, X.RUN_TS[1], later))
+    J.publish_curated(spark, inc_dir, J.cleansed_to_curated(spark, cleansed, inc_dir, X.RUN_TS[1], later,
+                                                            incremental=True))
     a = J.read_curated(spark, full_dir)["fact_order_item"]
     b = J.read_curated(spark, inc_dir)["fact_order_item"]
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     ids = [r["order_id"] for r in upd.select("order_id").collect()]
     assert b.where(F.col("order_id").isin(ids)).where("order_status <> 'canceled'").count() == 0
+
+
+def test_readers_follow_one_pointer(spark, tmp_dir):
+    """Versions without a pointer that names all four stay invisible."""
+    raw, cleansed, curated = tmp_dir + "/raw", tmp_dir + "/cleansed", tmp_dir + "/curated"
+    land(spark, raw, SMALL)
+    J.raw_to_cleansed(spark, raw, cleansed, tmp_dir + "/ckpt")
+    staged = J.cleansed_to_curated(spark, cleansed, curated, X.RUN_TS[0], X.AS_OF_TS)
+    VersionedTable(spark, curated + "/dim_customer").publish(staged["dim_customer"])
+    assert J.published_curated(spark, curated) is None
+    J.publish_curated(spark, curated, staged)
+    assert J.published_curated(spark, curated) == staged

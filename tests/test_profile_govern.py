@@ -64,3 +64,27 @@ def test_profile_dir_csv_then_parquet(spark, tmp_dir):
     spark.createDataFrame([(1,)], "a int").toPandas().to_parquet(d + "/a.parquet")
     rows = [(r["table"], r["rows"], r["duplicate_rows"], r["worst_null_col"]) for r in PR.profile_dir(spark, d).collect()]
     assert rows == [("b", 3, 1, "y"), ("a", 1, 0, "a")]
+
+
+def test_profile_of_records_with_line_breaks(spark, tmp_dir):
+    from tidemark.operators.profile import profile_dir
+    with open(tmp_dir + "/notes.csv", "w") as f:
+        f.write('id,note\n1,"two\nlines and ""quotes"""\n2,plain\n')
+    r = profile_dir(spark, tmp_dir).first()
+    assert (r["rows"], r["duplicate_rows"], float(r["worst_null_pct"])) == (2, 0, 0.0)
+
+
+def test_a_role_reads_nothing_but_its_views(spark, tmp_dir):
+    import pytest
+
+    from tidemark.operators import govern as G
+    people = spark.createDataFrame([("1", "secret", "QC"), ("2", "secret", "ON")], "customer_id string, full_name string, province string")
+    people.write.parquet(tmp_dir + "/people")
+    people.createOrReplaceTempView("people_as_they_are")
+    registry, tables = G.default_registry(()), {"customer_pii": people}
+    for sql in (f"SELECT full_name FROM parquet.`{tmp_dir}/people`", "SELECT full_name FROM people_as_they_are",
+                "SELECT p.* FROM {customer_pii} v JOIN people_as_they_are p ON v.customer_id = p.customer_id"):
+        with pytest.raises(G.AccessDenied):
+            G.query_as(spark, registry, "analyst", sql, tables).collect()
+    ok = G.query_as(spark, registry, "analyst", "WITH mine AS (SELECT * FROM {customer_pii}) SELECT customer_id FROM mine", tables)
+    assert [r[0] for r in ok.collect()] == ["2"]

@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     bld.add_argument("--run-ts", required=True)
     bld.add_argument("--as-of")
     bld.add_argument("--run-log")
-    bld.add_argument("--since", help="rebuild only orders affected after this time")
+    bld.add_argument("--incremental", action="store_true", help="rebuild only orders affected since the published build")
     qa = sub.add_parser("quality")
     qa.add_argument("--curated", required=True)
     qa.add_argument("--min-rows", type=int, default=100000)
@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "build":
         run_log = a.run_log or f"{a.curated.rstrip('/')}/_runs"     # read back by `metrics`
         row = J.daily_pipeline(spark, a.cleansed, a.curated, a.run_ts, a.as_of or a.run_ts, run_log=run_log,
-                               since=a.since)
+                               incremental=a.incremental)
         _show(row, a.json)
         return 0 if row.first()["outcome"] == "ok" else 2
     elif a.cmd == "quality":

@@ -90,7 +90,9 @@ def profile_dir(spark: SparkSession, path: str) -> DataFrame:
     out = None
     for n in csvs + parquets:
         full = f"{path.rstrip('/')}/{n}"
-        df = spark.read.option("header", True).csv(full) if n.endswith(".csv") else spark.read.parquet(full)
+        # records may hold line breaks and doubled quotes inside quotes
+        df = (spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(full)
+              if n.endswith(".csv") else spark.read.parquet(full))
         one = profile(df, n.rsplit(".", 1)[0])
         out = one if out is None else out.unionByName(one)
     if out is None:

@@ -134,14 +134,14 @@ def with_product(fact: DataFrame, product: DataFrame, cols: tuple[str, ...] = ("
 
 
 def with_first_order(fact: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Each row with its customer's first order time (J10, A1).  A window on
-    the key: no aggregate joined back, one shuffle by the key."""
-    from pyspark.sql.window import Window
-    return fact.withColumn("acquired_ts", F.min("order_ts").over(Window.partitionBy(key)))
+    """Each row with its customer's first order time (J10, A1): a map-side
+    combined aggregate joined back, so a hot customer's rows can be split."""
+    first = fact.groupBy(F.col(key).alias("_key")).agg(F.min("order_ts").alias("acquired_ts"))
+    return fact.join(first, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def star(fact: DataFrame, product: DataFrame, calendar: DataFrame) -> DataFrame:
     """Fact x product x calendar on ``date(order_ts) = date_key`` (J7); the
-    calendar is bounded by the number of days and is broadcast."""
+    calendar is broadcast if small."""
     f = with_product(fact, product)
-    return f.join(F.broadcast(calendar), F.to_date("order_ts") == F.col("date_key"))
+    return f.join(maybe_broadcast(calendar), F.to_date("order_ts") == F.col("date_key"))

@@ -106,13 +106,13 @@ def sales_by_month_category(fact: DataFrame, product: DataFrame, calendar: DataF
                             since: str, n: int = 100) -> DataFrame:
     """Units and revenue by month and category since a date.
 
-    Lines are first summed per product and day; the calendar is bounded by
-    the number of days and is broadcast, the product side only if small."""
+    Lines are first summed per product and day; calendar and products
+    are broadcast only if small."""
     f = month_bounds_filter(fact, since, None)
     per_day = f.groupBy("product_id", F.to_date("order_ts").alias("date_key")).agg(
         F.count("*").alias("_units"), F.sum("line_total").alias("_revenue"))
     j = (per_day.join(maybe_broadcast(product.select("product_id", "category")), "product_id")
-         .join(F.broadcast(calendar.select("date_key", "year_month")), "date_key"))
+         .join(maybe_broadcast(calendar.select("date_key", "year_month")), "date_key"))
     agg = j.groupBy("year_month", "category").agg(
         F.sum("_units").alias("units"), money(F.sum("_revenue")).alias("revenue"))
     return top_n(agg, [F.col("year_month").desc(), F.col("revenue").desc(), F.col("category")], n)

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tidemark.operators import changes as C
 from tidemark.operators import scd
 from tidemark.operators import star as S
-from tidemark.operators.relational import LARGE_TABLE_BYTES, estimated_bytes
 from tidemark.session import materialize, work_dir
 from tidemark.sources import fixtures as X
 
@@ -51,16 +50,14 @@ def change_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def incremental_scd2(spark: SparkSession, batches: list[DataFrame], states: list[DataFrame]) -> list[DataFrame]:
     """SCD2 runs after each load (the cleansed states come from
-    ``apply_changes``, so they hold one row per customer).  The first run sees the whole table; later
-    runs of a large table see only the customers their batch touched (in
-    their new state), so untouched customers are neither compared nor
-    shuffled.  Both give the same dimension (absent customers are kept)."""
+    ``apply_changes``, so they hold one row per customer).  The first run sees
+    the whole table; later runs see only the customers their batch touched (in
+    their new state), so untouched customers are neither compared nor shuffled.
+    Absent customers are kept."""
     dims = []
     dim = scd.empty_dim(spark)
     for k, (batch, state) in enumerate(zip(batches, states)):
-        small = (estimated_bytes(state) or 0) < LARGE_TABLE_BYTES
-        if k == 0 or small:
-            # the whole snapshot: for a small table one join beats the extra steps
+        if k == 0:
             dim = scd.scd2_apply(dim, scd.customer_source(state, unique=True), X.RUN_TS[k])
         else:
             touched = state.join(batch.select("customer_id").distinct(), "customer_id", "left_semi")

@@ -198,7 +198,7 @@ def q_sales(spark, sf):
 
 @query("month_total")
 def q_month_total(spark, sf):
-    return B.total(CU.fact(spark, sf), MONTH_LO, MONTH_HI)
+    return B.total(spark.read.parquet(written_fact(spark, sf)), MONTH_LO, MONTH_HI)
 
 
 @query("full_total")
@@ -449,8 +449,11 @@ def q_events_by_type(spark, sf):
 
 @query("events_out_of_range")
 def q_events_out_of_range(spark, sf):
-    df = EV.read_projected(spark, landed_events(spark, sf), PROJ_ENUMS, FUTURE_RANGES, {"y": "2026"})
-    return df.select("event_id", "event_type", "amount")
+    root = landed_events(spark, sf)
+    out = EV.read_projected(spark, root, PROJ_ENUMS, FUTURE_RANGES, {"y": "2026"})
+    inside = EV.read_projected(spark, root, PROJ_ENUMS, PROJ_RANGES, DAY)
+    return (inside.select(F.lit("inside").alias("where")).unionByName(out.select(F.lit("outside").alias("where")))
+            .groupBy().pivot("where", ["inside", "outside"]).count().na.fill(0))
 
 
 def optimized_events(spark, sf):
@@ -468,7 +471,13 @@ def q_events_parquet(spark, sf):
 
 @query("file_inventory")
 def q_file_inventory(spark, sf):
-    return T.file_inventory(optimized_events(spark, sf))
+    """What is certain of the listing: there are files, their sizes add up, and a
+    filter on one type lists fewer of them."""
+    events = optimized_events(spark, sf)
+    whole, some = T.file_inventory(events), T.file_inventory(events.where("event_type = 'pos_sale'"))
+    return whole.crossJoin(some.select(F.col("files").alias("some"))).select(
+        (F.col("files") > 0).alias("has_files"), (F.col("some") < F.col("files")).alias("pruned"),
+        (F.abs(F.col("avg_file_mb") * F.col("files") - F.col("total_mb")) < 0.1 + 0.01 * F.col("files")).alias("adds_up"))
 
 
 def written_fact(spark, sf):
@@ -490,7 +499,11 @@ def q_compacted(spark, sf):
 def q_format_sizes(spark, sf):
     c = CU.curated(spark, sf)
     joined = c.orders.join(c.items, "order_id")
-    return FM.format_sizes(joined, scratch_path(spark, "formats"))
+    sizes = FM.format_sizes(joined, scratch_path(spark, "formats"))
+    csv = F.max(F.when(F.col("format") == "csv", F.col("bytes")))
+    by = lambda f: F.max(F.when(F.col("format") == f, F.col("bytes")))
+    return sizes.agg(F.count("*").alias("formats"), (by("csv_gz") < csv).alias("gzip_smaller"),
+                     (by("parquet") < csv).alias("parquet_smaller"))
 
 
 @query("seeded_sample")
@@ -555,3 +568,71 @@ def q_health_metrics(spark, sf):
                             t["dim_customer"], FRESHNESS_NOW)
     return recs.select("metric", "value", "unit", F.coalesce(F.col("dims")["Table"], F.lit("")).alias("table_dim"),
                        "measured_at")
+
+
+@query("upsert_partitioned")
+def q_upsert_partitioned(spark, sf):
+    """The fact's stepped lines upserted into a folder by month that has a NULL
+    partition: second lines carry no month."""
+    part = F.when(F.col("order_item_id") != 2, F.date_format("order_ts", "yyyy-MM"))
+    cols = ["order_id", "order_item_id", "order_status", "at_risk"]
+    path = scratch_path(spark, "fact-by-month")
+    fact = CU.fact(spark, sf)
+    T.write_fact(fact.select(*cols, part.alias("part")), path, "part")
+    T.upsert_partitions(spark, path, stepped_fact_lines(fact).select(*cols, part.alias("part")),
+                        ["order_id", "order_item_id"], "part")
+    return spark.read.parquet(path).select(*cols, F.col("part").cast("string").alias("part"))
+
+
+def streamed_batches(spark, sf, buckets=None):
+    """Two runs of the incremental job, one file a trigger; the last two batches
+    land between the runs."""
+    landing, checkpoint = scratch_path(spark, "cdc-landing"), scratch_path(spark, "cdc-checkpoint")
+    target = scratch_path(spark, "customers-batches")
+    table = target if buckets else VersionedTable(spark, target)
+    batches = CU.curated(spark, sf).change_batches
+    for run in (batches[:2], batches[2:]):
+        for b in run:
+            b.coalesce(1).write.mode("append").parquet(landing)
+        schema = batches[0].schema
+        ST.apply_stream(spark, landing, schema, table, CUSTOMER_PK, checkpoint, max_files_per_trigger=1, buckets=buckets)
+    return spark.read.parquet(target).drop("_bucket") if buckets else table.read()
+
+
+@query("cdc_stream_batches")
+def q_cdc_stream_batches(spark, sf):
+    return streamed_batches(spark, sf)
+
+
+@query("cdc_stream_bucketed")
+def q_cdc_stream_bucketed(spark, sf):
+    return streamed_batches(spark, sf, buckets=8)
+
+
+@query("cdc_rejects")
+def q_cdc_rejects(spark, sf):
+    """Changes whose key is blank are rejected beside the table, the others applied."""
+    load = CU.curated(spark, sf).change_batches[0]
+    blank = F.when(F.col("customer_id").endswith("7"), F.lit(" ")).otherwise(F.col("customer_id"))
+    table = VersionedTable(spark, scratch_path(spark, "customers-rejects"))
+    ST.merge_batch(table, load.withColumn("customer_id", blank), CUSTOMER_PK, 0)
+    rejected = ST.rejects(spark, table.path)
+    return table.read().agg(F.count("*").alias("applied")).crossJoin(rejected.agg(F.count("*").alias("rejected")))
+
+
+@query("pipeline_outcomes")
+def q_pipeline_outcomes(spark, sf):
+    """One run per outcome: published, no rules, blocked, a validation that fails
+    as it runs; and the lines a reader sees after each."""
+    fact = lambda: CU.fact(spark, sf)
+    complete = [Q.IsComplete("order_id")]
+    divide = [("divides", "SELECT * FROM {published} WHERE 1 / (order_item_id - order_item_id) > 0")]
+    out = None
+    for run, rules, checks in (("ok", complete, ()), ("no_rules", [], ()),
+                               ("blocked", [Q.RowCount(">", 1 << 60)], ()), ("failed", complete, divide)):
+        table = VersionedTable(spark, scratch_path(spark, "outcome"))
+        row = P.run_pipeline(spark, fact, rules, table, checks, run_id=run).select("run_id", "outcome", "score")
+        seen = table.read() if table.exists() else fact().limit(0)
+        row = row.crossJoin(seen.agg(F.count("*").alias("published_lines")))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -123,38 +123,48 @@ class VersionedTable:
         return staged
 
 
-def merge_into_partitions(spark: SparkSession, path: str, latest: DataFrame, keys: Sequence[str],
-                          part_col: str) -> DataFrame:
+def partition_folder(spark: SparkSession, path: str, col: str, value) -> str:
+    """The folder of one partition value as Spark's writers name it (NULL and
+    special characters included)."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{path.rstrip('/')}/{utils.getPartitionPathString(col, None if value is None else str(value))}"
+
+
+def merge_into_partitions(spark: SparkSession, path: str, latest: DataFrame, keys: Sequence[str], part_col: str,
+                          ignore_stale: bool = False, rows_move: bool = True) -> DataFrame:
     """Apply latest changes (with ``Op``) to a partitioned Parquet folder,
     rewriting only the touched partitions (C3/C4 on plain files).
 
-    Touched = the partitions of the incoming rows plus the partitions where
-    their keys live today, so a row whose partition value changed leaves its
-    old partition.  The new content of those partitions is first written to
+    Touched = the partitions of the incoming rows plus, where rows can move,
+    the partitions in which their keys live today, so a row whose partition
+    value changed leaves its old partition; with ``rows_move=False`` (the
+    partition is a function of the key) the table is not searched for them.
+    NULL is a partition like any other.  The new content is first written to
     the shared work folder (a table cannot be overwritten while it is read),
-    then swapped in with dynamic partition overwrite; a touched partition left
+    then swapped in with dynamic partition overwrite, set on the writer so that
+    concurrent merges do not see each other's mode; a touched partition left
     with no rows is removed.  Re-running the same changes converges to the
-    same table (the merge is idempotent), which is what makes a retry after
-    a failure mid-way safe; plain files give no multi-partition atomicity.
-    Returns the touched partition values."""
+    same table, which is what makes a retry after a failure mid-way safe; plain
+    files give no multi-partition atomicity.  Returns the touched values."""
     from tidemark.operators.changes import apply_changes
     from tidemark.session import materialize
 
     target = spark.read.parquet(path)
-    old_parts = target.join(latest.select(*keys).distinct(), list(keys), "left_semi").select(part_col)
-    touched = materialize(latest.select(part_col).unionByName(old_parts).distinct(), "touched")
-    affected = target.join(F.broadcast(touched), part_col, "left_semi")
-    new_rows = materialize(apply_changes(affected, latest, keys), "merged")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        new_rows.write.mode("overwrite").partitionBy(part_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    emptied = touched.join(new_rows.select(part_col).distinct(), part_col, "left_anti").collect()
-    for r in emptied:  # bounded by the number of touched partitions
-        fs, p = _fs(spark, f"{path.rstrip('/')}/{part_col}={r[part_col]}")
-        fs.delete(p, True)
+    parts = latest.select(F.col(part_col).cast(target.schema[part_col].dataType).alias(part_col))
+    if rows_move:
+        parts = parts.unionByName(target.join(latest.select(*keys).distinct(), list(keys), "left_semi").select(part_col))
+    touched = materialize(parts.distinct(), "touched")
+    values = [r[0] for r in touched.collect()]  # bounded by the touched partitions; prunes the scan
+    here = F.col(part_col).isin([v for v in values if v is not None])
+    affected = target.where(here | F.col(part_col).isNull() if None in values else here)
+    new_rows = materialize(apply_changes(affected, latest, keys, ignore_stale), "merged")
+    (new_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(path))
+    left = {r[0] for r in new_rows.select(part_col).distinct().collect()}
+    for v in values:
+        if v not in left:
+            fs, p = _fs(spark, partition_folder(spark, path, part_col, v))
+            fs.delete(p, True)
     return touched
 
 
@@ -182,8 +192,9 @@ def write_fact(df: DataFrame, path: str, part_col: str = "order_month", mode: st
 # ---- file inventory and compaction ------------------------------------------
 def file_inventory(df: DataFrame) -> DataFrame:
     """Data files behind a file-based DataFrame: count, total MB (1 dp),
-    average MB (2 dp).  Reads only the per-file metadata columns."""
-    files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct()
+    average MB (2 dp).  Reads only the per-file metadata columns, so a pruned
+    scan lists what it would read; ``folder_bytes`` lists a folder without any scan."""
+    files = df.groupBy(F.col("_metadata.file_path").alias("p")).agg(F.max("_metadata.file_size").alias("s"))
     mb = F.lit(1024.0 * 1024.0)
     return files.agg(
         F.count("*").alias("files"),
