@@ -474,10 +474,12 @@ def q_file_inventory(spark, sf):
     """What is certain of the listing: there are files, their sizes add up, and a
     filter on one type lists fewer of them."""
     events = optimized_events(spark, sf)
-    whole, some = T.file_inventory(events), T.file_inventory(events.where("event_type = 'pos_sale'"))
-    return whole.crossJoin(some.select(F.col("files").alias("some"))).select(
-        (F.col("files") > 0).alias("has_files"), (F.col("some") < F.col("files")).alias("pruned"),
-        (F.abs(F.col("avg_file_mb") * F.col("files") - F.col("total_mb")) < 0.1 + 0.01 * F.col("files")).alias("adds_up"))
+    both = T.file_inventory(events).withColumn("whole", F.lit(True)).unionByName(
+        T.file_inventory(events.where("event_type = 'pos_sale'")).withColumn("whole", F.lit(False)))
+    of = lambda c, whole=True: F.max(F.when(F.col("whole") == whole, F.col(c)))
+    files = of("files")
+    return both.agg((files > 0).alias("has_files"), (of("files", False) < files).alias("pruned"),
+                    (F.abs(of("avg_file_mb") * files - of("total_mb")) < 0.1 + 0.01 * files).alias("adds_up"))
 
 
 def written_fact(spark, sf):
@@ -617,7 +619,8 @@ def q_cdc_rejects(spark, sf):
     table = VersionedTable(spark, scratch_path(spark, "customers-rejects"))
     ST.merge_batch(table, load.withColumn("customer_id", blank), CUSTOMER_PK, 0)
     rejected = ST.rejects(spark, table.path)
-    return table.read().agg(F.count("*").alias("applied")).crossJoin(rejected.agg(F.count("*").alias("rejected")))
+    both = table.read().select(F.lit(True).alias("ok")).unionByName(rejected.select(F.lit(False).alias("ok")))
+    return both.agg(F.count_if("ok").alias("applied"), F.count_if(~F.col("ok")).alias("rejected"))
 
 
 @query("pipeline_outcomes")
@@ -633,6 +636,9 @@ def q_pipeline_outcomes(spark, sf):
         table = VersionedTable(spark, scratch_path(spark, "outcome"))
         row = P.run_pipeline(spark, fact, rules, table, checks, run_id=run).select("run_id", "outcome", "score")
         seen = table.read() if table.exists() else fact().limit(0)
-        row = row.crossJoin(seen.agg(F.count("*").alias("published_lines")))
+        lines = seen.agg(F.count("*").alias("published_lines"))
+        row = row.withColumn("published_lines", F.lit(None).cast("long")).unionByName(lines.select(
+            F.lit(run).alias("run_id"), F.lit(None).cast("string").alias("outcome"), F.lit(None).cast("double").alias("score"),
+            "published_lines"))
         out = row if out is None else out.unionByName(row)
-    return out
+    return out.groupBy("run_id").agg(*[F.max(c).alias(c) for c in ("outcome", "score", "published_lines")])
