@@ -191,8 +191,7 @@ def test_base_scan_by_brute_force(spark, odd_rows, clashing):
             places = sorted((i, i + p.count(" "), label) for p, label in phrases.items() for i in range(len(w))
                             if [x.decode() for x in w[i:i + p.count(" ") + 1]] == p.split())
             want.append((r[0], len(w), places))
-        assert [(a, b, [tuple(x) for x in c]) for a, b, c in got] == sorted(want, key=lambda x: repr((x[0], x[1], [])).split("[")[0]) or \
-            sorted((repr(a), b, [tuple(x) for x in c]) for a, b, c in got) == sorted((repr(a), b, c) for a, b, c in want)
+        assert sorted((repr(a), b, [tuple(x) for x in c]) for a, b, c in got) == sorted((repr(a), b, c) for a, b, c in want)
 
 
 def test_suppression_and_labels():
@@ -215,5 +214,5 @@ def test_licenses_of_an_empty_table(empty):
     assert licenses.scan(empty).collect() == []
 
 
-def test_an_index_of_columns_is_not_needed(odd):
+def test_columns_of_other_names(odd):
     assert licenses.scan(odd.select(F.col("text").alias("t"), F.col("doc_id").alias("i")), "i", "t").count() == odd.count()
