@@ -33,12 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as B
+from tidemark.llm.batches import small_batches
 from tidemark.session import materialize
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Added to every piece's expected count.
 SMOOTHING = 0.05
-MAX_CACHED = 400_000
+MAX_CACHED = 200_000
 _memo: dict = {}
 
 
@@ -203,7 +204,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             names = sorted(set(langs))
             code = np.array([names.index(x) for x in langs], np.int64)
             total: dict = {}
-            for piece in B.pieces(batch.column(1), B.NOT_LETTER, 4 << 20):
+            for piece in B.pieces(batch.column(1), B.NOT_LETTER, 1 << 20):
                 s, e, keys, which, part = word_keys(piece)
                 if not len(keys):
                     continue
@@ -213,7 +214,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 for k, c in zip(pairs.tolist(), n.tolist()):
                     key = (k % len(names), words[k // len(names)])
                     total[key] = total.get(key, 0) + c
-                if len(total) > 500_000:
+                if len(total) > 200_000:
                     yield rows(names, total)
                     total = {}
             if total:
@@ -237,7 +238,7 @@ class Model:
 
 def fit(docs: DataFrame, vocabulary: str = VOCABULARY, iterations: int = 1, text_col="text", lang_col="lang") -> Model:
     """Learn from all rows with a label and a text."""
-    labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
+    labelled = small_batches(docs).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     shares = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count("*")).collect()}
     langs = sorted(shares)
     size = len(pieces_of(vocabulary))
@@ -290,7 +291,7 @@ class Scorer:
         """Sums of log probabilities per text and language; whether a text has a letter."""
         sums = np.tile(np.array(self.model.prior, float), (len(column), 1))
         letters = np.zeros(len(column), bool)
-        for piece in B.pieces(column, B.NOT_LETTER, 4 << 20):
+        for piece in B.pieces(column, B.NOT_LETTER, 1 << 20):
             if len(self.place) > MAX_CACHED:
                 self.clear()
             s, e, keys, which, part = word_keys(piece)
@@ -300,7 +301,7 @@ class Scorer:
             keys = keys.tolist()
             new = [i for i, k in enumerate(keys) if k not in self.place]
             words = [raw[x:y].decode("utf-8").lower() for x, y in zip(s[new].tolist(), e[new].tolist())]
-            got = [Lattice(words[k: k + 16384], self.vocab).log_probs(self.prob) for k in range(0, len(words), 16384)]
+            got = [Lattice(words[k: k + 8192], self.vocab).log_probs(self.prob) for k in range(0, len(words), 8192)]
             self.logs = np.concatenate([self.logs, *got])
             self.place.update(zip((keys[i] for i in new), range(len(self.logs) - len(new), len(self.logs))))
             at = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))[which]
@@ -329,7 +330,7 @@ def predictions(model: Model, column: pa.Array) -> pa.Array:
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out: str = "__language") -> DataFrame:
     """``docs`` and a column ``out``: struct of lang_pred and score."""
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    known = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def language(texts: pa.Array) -> pa.Array:

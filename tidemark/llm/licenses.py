@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as B
+from tidemark.llm.batches import small_batches
 from tidemark.llm.license_rules import BASE, rules
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -113,4 +114,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 [batch.column(0), pa.array(n), *(pa.array(v, k) for v, k in zip((places, detections, confidence), kinds))],
                 ["doc_id", "n_words", "places", "detections", "confidence"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, schema)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, schema)

@@ -48,6 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as B
+from tidemark.llm.batches import small_batches
 from tidemark.llm.components import components
 from tidemark.llm.shingles import set_digests, shingle_sets
 from tidemark.operators.relational import maybe_broadcast
@@ -83,7 +84,7 @@ def frequent_shingles(texts: DataFrame, k: int) -> np.ndarray:
                 held.append(h)
                 docs += last - first
                 size += len(h)
-                if size > 4 << 20:
+                if size > 2 << 20:
                     yield flush()
                     held, docs, size = [], 0, 0
         if held:
@@ -490,7 +491,7 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
                     contract: int = 3) -> DataFrame:
     """One row per document: doc_id, text_key, n_shingles, component_id, class_id,
     component (a class that stands for all of it), n_linked (classes in it)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+    docs = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        text_key(F.col(text_col)).alias("text_key"))
     every = materialize(summaries(docs, k, percent, frequent_shingles(docs.select("text"), k)), "near-summaries")
     # class c is named by the first digest

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as B
+from tidemark.llm.batches import small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published pre-token pattern of this vocabulary.
@@ -38,7 +39,7 @@ PAD = 50256
 #: Segments are packed in windows of about so many tokens.
 WINDOW_TOKENS = 1 << 20
 CACHE_PARTS = 600_000
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 _encoders: dict = {}
 
 
@@ -230,7 +231,7 @@ def pack(docs: DataFrame, context: int = 2048, vocabulary: str = VOCABULARY, id_
         if held:
             yield flush()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, SCHEMA)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, SCHEMA)
 
 
 def positions(cu_seqlens, context: int | None = None) -> np.ndarray:
