@@ -1,5 +1,6 @@
 """Packing, language ID, decontamination, licenses: brute force, round trips, edge cases."""
 
+import itertools
 import random
 import re
 
@@ -210,6 +211,53 @@ def test_gates_let_every_rule_through():
             assert any(g in pattern.pattern or g in keyword for g in gates)
 
 
+def examples(pattern):
+    """Texts a pattern matches, with and without every optional part, for every choice."""
+    def seq(items):
+        return ["".join(x) for x in itertools.product(*[one(*i) for i in items])]
+
+    def one(op, arg):
+        op = str(op)
+        if op == "LITERAL":
+            return [chr(arg)]
+        if op == "IN":
+            return [chr(v) if str(k) == "LITERAL" else {"CATEGORY_WORD": "k", "CATEGORY_DIGIT": "3"}[str(v)] for k, v in arg]
+        if op == "ANY":
+            return ["x"]
+        if op == "ASSERT_NOT":
+            return [""]
+        if op == "SUBPATTERN":
+            return seq(arg[3])
+        if op == "BRANCH":
+            return [x for b in arg[1] for x in seq(b)]
+        assert op in ("MAX_REPEAT", "MIN_REPEAT"), op
+        least, most, inner = arg
+        return [x for n in {least, min(most, max(least, 1))} for x in (seq(list(inner) * n) if n else [""])]
+
+    got = seq(re._parser.parse(pattern))
+    # what the license scan asks for around a match
+    return [x for x in got if re.search(rf"(?<!\S)(?:{pattern})(?!\S)", x)]
+
+
+def test_the_gate_passes_examples_of_every_rule():
+    for _, label, _, pattern in licenses.rules():
+        own = examples(pattern)
+        assert own
+        for x in own:
+            assert licenses.passes(x.encode()) and licenses.passes(("(" + x.replace(" ", "-") + ").").encode()), (label, x)
+    assert all(licenses.passes(p.encode()) for p, _ in licenses.BASE)
+    assert not licenses.passes(b"the weather was fine, said the subcc and ungplayed")
+
+
+def test_texts_of_one_license_name_are_labelled(spark):
+    want = {"Released under the AGPLv3.": "agpl-3", "This library is LGPL 2.1": "lgpl-2.1", "lgplv3": "lgpl-3", "AGPL": "agpl",
+            "CeCILL 2.1": "cecill-2.1", "CeCILL-B": "cecill-b", "MIT No Attribution": "mit-0", "GPLv2 or later": "gpl-2", "fine": None}
+    rows = [(i, t, None, None, None) for i, t in enumerate(want)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert {t: next((d.label for d in got[i].detections), None) for i, t in enumerate(want)} == want
+    assert all((got[i].confidence > 0) == (v is not None) for i, v in enumerate(want.values()))
+
+
 def test_licenses_of_an_empty_table(empty):
     assert licenses.scan(empty).collect() == []
 

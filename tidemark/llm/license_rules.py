@@ -8,6 +8,8 @@ label and pattern stands for each version listed after the label as
 patterns that stand first are more specific and outrank later ones.
 """
 
+import re
+
 # The rules, most specific first.
 RULES = r"""
 spdx-{v}: 0bsd, afl-3.0, agpl-3.0, apache-2.0, artistic-2.0, bsd-2-clause, bsd-3-clause, bsl-1.0, cc-by-4.0, cc-by-sa-4.0, cc0-1.0, epl-2.0, eupl-1.2, gpl-2.0, gpl-3.0, isc, lgpl-2.1, lgpl-3.0, mit, mpl-2.0, ofl-1.1, unlicense, wtfpl, zlib | spdx | spdx license identifier {v}
@@ -126,6 +128,17 @@ unspecified | licen | licensed under (?:the )?terms ; see licen[sc]e file ; unde
 #: (phrase, label) of the base scan.
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
+#: Innermost groups, classes, repeated or optional characters, escapes: what a match may lack or vary in.
+VARIES = re.compile(r"\(\?[:!][^()]*\)\??|\[[^]]*\]\??|\\?[^\\()](?:\?|\{[\d,]+\}\??)|\\\w")
+
+
+def mandatory(pattern: str) -> list[str]:
+    """Stretches of letters and spaces that every match of a pattern holds."""
+    n = 1
+    while n:
+        pattern, n = VARIES.subn("\0", pattern)
+    return [] if "|" in pattern else [x for x in pattern.split("\0") if x]
+
 
 def rules() -> list[tuple[int, str, str, str]]:
     """(priority, label, keyword, pattern), the highest priority first."""

@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as B
 from tidemark.llm.batches import small_batches
-from tidemark.llm.license_rules import BASE, rules
+from tidemark.llm.license_rules import BASE, mandatory, rules
 
+#: Gates of so few letters count only at the start of a word.
+SHORT = 3
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _compiled: list = []
 
@@ -42,15 +44,29 @@ def compiled():
         by: dict[str, list] = {}
         for priority, label, keyword, pattern in rules():
             by.setdefault(keyword, []).append((priority, label, re.compile(rf"(?<!\S)(?:{pattern})(?!\S)".encode())))
-        # where every pattern of a keyword speaks of a license, that word is the gate
-        wants = lambda own: all(b"licen" in p.pattern for _, _, p in own)
-        gates = {b"licen" if wants(own) else max(k.split(), key=len).encode() for k, own in by.items()}
-        # a gate that another one is part of adds nothing
-        gates = sorted(g for g in gates if not any(o != g and o in g for o in gates))
+        # a pattern that always speaks of a license has that word as its gate
+        gates = {gate_of(k, p) for _, _, k, p in rules()} | {gate_of(p, p) for p, _ in BASE}
+        # a gate that a plain one is part of adds nothing; a short one, asked for
+        # at the start of a word only, stands in for no other: "gpl" is not in "agplv3"
+        gates = sorted(g for g in gates if not any(o != g and len(o) > SHORT and o in g for o in gates))
         _compiled.extend([{k.encode(): v for k, v in by.items()}, gates])
     return _compiled
 
 
+def gate_of(keyword: str, pattern: str) -> bytes:
+    """A stretch of letters that every match of the pattern holds."""
+    held = mandatory(pattern)
+    if any("licen" in x for x in held):
+        return b"licen"
+    words = keyword if any(keyword in x for x in held) else " ".join(held)
+    return max(words.split(), key=len).encode()
+
+
+def passes(low: bytes) -> bool:
+    """Whether any rule or base phrase may match the lower-cased text."""
+    return any(g in low and (len(g) > SHORT or re.search(rb"(?<![0-9a-z\x80-\xff])" + g, low)) for g in compiled()[1])
+
+
 def find_base(padded: bytes) -> list[tuple[int, int, str]]:
     """(first word, last word, label) of every place of the base phrases in
     ' word word ... '."""
@@ -88,7 +104,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kinds = [pa.list_(pa.struct(span)), pa.list_(pa.struct([*span, ("priority", pa.int32())])), pa.float64()]
 
     def each(batches):
-        _, gates = compiled()
         for batch in batches:
             texts = batch.column(1)
             n = np.zeros(len(texts), np.int64)
@@ -100,7 +115,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             places, detections, confidence = [], [], []
             for x, y in zip(at, at[1:]):
                 low = raw[x:y].lower()
-                if not any(g in low and (len(g) > 3 or re.search(rb"(?<![0-9a-z\x80-\xff])" + g, low)) for g in gates):
+                if not passes(low):
                     places.append([])
                     detections.append([])
                     confidence.append(0.0)
