@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import DOCS, rows_of, words
 from tidemark.llm import bytewords as B
-from tidemark.llm import decontam, langid, licenses, packing
+from tidemark.llm import decontam, langid, license_rules, licenses, packing
 
 
 # ---- words of columns -----------------------------------------------------
@@ -249,6 +249,22 @@ def test_the_gate_passes_examples_of_every_rule():
     assert not licenses.passes(b"the weather was fine, said the subcc and ungplayed")
 
 
+def test_every_pattern_holds_its_keyword():
+    for _, label, keyword, pattern in licenses.rules():
+        assert any(keyword in x for x in license_rules.mandatory(pattern)), (label, keyword, pattern)
+        for x in examples(pattern):
+            assert keyword in x and licenses.detect(x.encode()), (label, keyword, x)
+
+
+def test_a_notice_is_labelled_whatever_stands_elsewhere():
+    labels = lambda t: [x[2] for x in licenses.detect(t)]
+    for text, label in ((b"creative commons attribution noncommercial noderivs 4 0", "cc-by-nc-nd-4.0"),
+                        (b"the creativeml open rail m", "openrail"), (b"psf license", "python-2.0"),
+                        (b"internet systems consortium license", "isc")):
+        assert licenses.passes(text) and label in labels(text)
+        assert labels(text + b" access openrailing python isc") == labels(text)
+
+
 def test_texts_of_one_license_name_are_labelled(spark):
     want = {"Released under the AGPLv3.": "agpl-3", "This library is LGPL 2.1": "lgpl-2.1", "lgplv3": "lgpl-3", "AGPL": "agpl",
             "CeCILL 2.1": "cecill-2.1", "CeCILL-B": "cecill-b", "MIT No Attribution": "mit-0", "GPLv2 or later": "gpl-2", "fine": None}

@@ -5,7 +5,8 @@ A line is: label | keyword | patterns, one pattern after another separated by
 "Apache License, Version 2.0" reads "apache license version 2 0".  ``{v}`` in
 label and pattern stands for each version listed after the label as
 ``label: a, b``; a version's dots read as spaces in a pattern.  Lines and
-patterns that stand first are more specific and outrank later ones.
+patterns that stand first are more specific and outrank later ones.  A pattern
+is run only on texts with its keyword, so every match of it must hold that.
 """
 
 import re
@@ -31,7 +32,8 @@ eupl-{v}: 1.0, 1.1, 1.2 | european union | european union public licen[sc]e (?:v
 eupl-{v}: 1.0, 1.1, 1.2 | eupl | eupl (?:version |v ?)?{v}
 cddl-{v}: 1.0, 1.1 | common development | common development and distribution licen[sc]e (?:version |v ?)?{v}
 cddl-{v}: 1.0, 1.1 | cddl | cddl (?:version |v ?)?{v}
-cc-by-nc-nd-{v}: 2.0, 2.5, 3.0, 4.0 | cc | cc by nc nd (?:version )?{v} ; creative commons attribution non ?commercial no ?deriv(?:ative|ative work)?s? {v}
+cc-by-nc-nd-{v}: 2.0, 2.5, 3.0, 4.0 | cc | cc by nc nd (?:version )?{v}
+cc-by-nc-nd-{v}: 2.0, 2.5, 3.0, 4.0 | creative | creative commons attribution non ?commercial no ?deriv(?:ative|ative work)?s? {v}
 cc-by-nc-sa-{v}: 2.0, 2.5, 3.0, 4.0 | cc | cc by nc sa (?:version )?{v}
 cc-by-nc-sa-{v}: 2.0, 2.5, 3.0, 4.0 | creative | creative commons attribution non ?commercial share ?alike {v}
 cc-by-nc-{v}: 2.0, 2.5, 3.0, 4.0 | cc | cc by nc (?:version )?{v}
@@ -66,7 +68,8 @@ mit-0 | mit | mit no attribution(?: licen[sc]e)? ; mit 0 licen[sc]e
 mit | permission is hereby | permission is hereby granted free of charge to any person obtaining a copy of this software
 mit | expat | expat licen[sc]e
 x11 | x11 | x11 licen[sc]e
-isc | isc | isc licen[sc]e ; internet systems consortium licen[sc]e
+isc | isc | isc licen[sc]e
+isc | internet systems | internet systems consortium licen[sc]e
 isc | permission to use | permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted
 zlib | zlib | zlib libpng licen[sc]e ; zlib licen[sc]e
 libpng | libpng | libpng licen[sc]e
@@ -86,7 +89,8 @@ unlicense | public domain | this is free and unencumbered software released into
 wtfpl | do what the | do what the f\w{3} you want to public licen[sc]e
 wtfpl | wtfpl | wtfpl
 beerware | beer | beer ?ware licen[sc]e
-python-2.0 | python | python software foundation licen[sc]e(?: version 2)? ; psf licen[sc]e
+python-2.0 | python | python software foundation licen[sc]e(?: version 2)?
+python-2.0 | psf | psf licen[sc]e
 php-{v}: 3.0, 3.01 | php | php licen[sc]e (?:version )?{v}
 ruby | ruby | ruby licen[sc]e
 postgresql | postgresql | postgresql licen[sc]e
@@ -106,7 +110,8 @@ cpal-1.0 | common public attribution | common public attribution licen[sc]e
 hpnd | historical permission | historical permission notice and disclaimer
 mulan-{v}: 1, 2 | mulan | mulan permissive software licen[sc]e (?:version |v ?){v} ; mulan psl v?{v}
 llama | llama | llama \d?(?: \d)? ?community licen[sc]e
-openrail | openrail | creativeml open ?rail m? ; openrail m? ?licen[sc]e ; bigscience openrail
+openrail | creativeml | creativeml open ?rail(?: m)?
+openrail | openrail | openrail m? ?licen[sc]e ; bigscience openrail
 gpl | general public | gnu general public licen[sc]e ; general public licen[sc]e
 gpl | gpl | gnu gpl ; under the gpl ; gpl licen[sc]e
 lgpl | lesser | gnu lesser general public licen[sc]e
