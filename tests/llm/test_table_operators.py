@@ -136,6 +136,28 @@ def test_rows_that_no_bit_can_split_come_in_parts(spark):
     assert len(rows) == 40 and {len(r.shard) for r in rows} == {60} and len({r.part for r in rows}) > 1
 
 
+def test_parts_of_a_hot_key_keep_the_limit(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(sharding, "BLOCK_BITS", 1)
+    rng = random.Random(5)
+    limit = 8_000
+    sizes = {None: [rng.choice([0, 100, 936, 936, 1_500, 3_000, 5_000, 7_936]) for _ in range(400)] + [9_000, 20_000],
+             1: [936] * 40, 2: [7_936] * 3, 3: [100] * 9 + [30_000], 4: [9_000], 5: [10] * 5}
+    rows = [(i, "x" * n, None, None, None) for i, ns in sizes.items() for n in ns]
+    rng.shuffle(rows)
+    got = sharding.shard(spark.createDataFrame(rows, DOCS).repartition(5), limit).collect()
+    assert sorted((repr(r.doc_id), r.bytes) for r in got) == sorted((repr(r[0]), len(r[1]) + 64) for r in rows)
+    part = defaultdict(list)
+    for r in got:
+        part[r.doc_id, r.shard, r.part].append(r.bytes)
+    assert all(sum(b) <= limit or len(b) == 1 for b in part.values())
+    for i, ns in sizes.items():
+        numbers = sorted(p for d, _, p in part if d == i)
+        total = sum(ns) + 64 * len(ns)
+        assert numbers == list(range(len(numbers))) and len(numbers) <= 2 * total / limit + sharding.SMALL + 1
+    assert len([1 for d, _, _ in part if d == 1]) == 6  # 40 rows of 1000: by running bytes of 7000
+
+
 # ---- mixing ---------------------------------------------------------------
 def test_targets_reshare_the_excess(spark):
     sizes = {"a": 1000, "b": 10, "c": 400, "d": 0, None: 300}
