@@ -159,6 +159,20 @@ def test_overlaps_with_replaced_words(spark, clashing):
     assert decontam.overlaps(clashing, bench).collect() == []
 
 
+def test_every_allowed_substitution_has_a_seed(spark):
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in range(8, 15)]
+    rows = []
+    for n, item in items:
+        for gone in itertools.combinations(range(n), n // 5):
+            part = ["zzz" if k in gone else w for k, w in enumerate(item.split())]
+            rows.append((len(rows), " ".join(["before"] * 3 + part + ["after"] * 3), None, None, None))
+    rows += [(len(rows) + k, items[-1][1].split(" ", 1)[1].replace("x5", "y").replace(w, "y"), None, None, None)
+             for k, w in enumerate(["x8", "x9"])]  # the document begins within the item
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.overlaps(spark.createDataFrame(rows, DOCS), bench).collect()}
+    assert got == brute_overlaps([r[:2] for r in rows], items) and len(got) == len(rows)
+
+
 def test_decontaminate_keeps_clean_rows_and_columns(spark, clashing, odd_rows, empty):
     long_text = next(r[1] for r in odd_rows if r[0] == 205)
     bench = spark.createDataFrame([(1, " ".join(long_text.split()[500:530])), (None, odd_rows[0][1])], "item_id long, text string")
