@@ -30,4 +30,4 @@ def tmp_dir():
     return tempfile.mkdtemp(prefix="tidemark-test-")
 
 
-SMALL = "/root/testdata/sf0.001"
+from paths import SMALL  # noqa: E402,F401

@@ -9,7 +9,7 @@ from tidemark.sources import fixtures as X
 from tidemark.sources.tables import VersionedTable
 from tidemark.streaming import changes as ST
 
-from conftest import SMALL
+from paths import SMALL
 
 HOUR = {"event_type": "pos_sale", "y": "2024", "m": "01", "d": "05", "h": "13"}
 ENUMS = {"event_type": ["pos_sale", "page_view", "inventory_move"]}

@@ -7,7 +7,7 @@ from tidemark.plans.curated import change_batches
 from tidemark.sources import fixtures as X
 from tidemark.sources.tables import VersionedTable
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def land(spark, raw, sf):

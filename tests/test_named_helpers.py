@@ -16,7 +16,7 @@ from tidemark.sources import files as FL
 from tidemark.sources import tables as T
 from tidemark.streaming import changes as ST
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_two_step_scd2_equals_one_join(spark):

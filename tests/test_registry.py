@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from tidemark import registry
 from tools.oracle_check import TABLES, rows_of
 
-from conftest import SMALL
+from paths import SMALL
 
 
 @pytest.fixture(scope="module")

@@ -119,7 +119,7 @@ def test_dashboard_anti_joins_and_full_refresh(spark, tmp_dir):
     from tidemark.plans import curated as CU
     from tidemark.sources.files import load_table
 
-    from conftest import SMALL
+    from paths import SMALL
     c = CU.curated(spark, SMALL)
     fact = CU.fact(spark, SMALL)
     d = B.dashboard_queries(fact, c.dim_customer, c.dim_product, "1998-06-01 00:00:00", "1998-07-01 00:00:00")
@@ -142,7 +142,7 @@ def test_all_metrics_records(spark, tmp_dir):
     from tidemark.plans import metrics as M
     from tidemark.plans import curated as CU
 
-    from conftest import SMALL
+    from paths import SMALL
     t = RG.curated_tables(spark, SMALL)
     dims = {k: v for k, v in t.items() if k != "fact_order_item"}
     spark.range(3).write.parquet(tmp_dir + "/zone")
