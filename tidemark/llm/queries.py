@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, langid, licenses, linededup, maxscore, mixing, nearjoin, packing, sharding
+from tidemark.llm import chat, decontam, exactdedup, langid, licenses, linededup, maxscore, mixing, nearjoin, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -209,3 +209,17 @@ SELECT doc_id, item_id, start::INT AS start, len(same)::INT AS n_aligned, n_equa
 @query("op5_decontam", OP5_SQL)
 def op5_decontam(spark, sf):
     return decontam.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("text_key")
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+r AS (SELECT *, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) AS place FROM d)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256 FROM r
+"""
+
+
+@query("op11_exact_dedup", OP11_SQL)
+def op11_exact_dedup(spark, sf):
+    return exactdedup.decide(table(spark, sf, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
