@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, exactdedup, langid, licenses, linededup, maxscore, mixing, nearjoin, packing, sharding
+from tidemark.llm import chat, decontam, exactdedup, langid, lexsearch, licenses, linededup, maxscore, merkle, mixing, nearjoin, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -223,3 +223,72 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256
 def op11_exact_dedup(spark, sf):
     return exactdedup.decide(table(spark, sf, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+n AS (SELECT r, doc_id, w, len(w)::BIGINT AS len FROM d WHERE len(w) > 0),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len)::BIGINT AS terms FROM n),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM n) GROUP BY r, t),
+df AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+       FROM (SELECT t, count(*)::BIGINT AS df FROM tf GROUP BY t), s),
+m AS (SELECT r, doc_id, 25 + (75 * len * docs) // terms AS m FROM n, s),
+q AS (SELECT item_id, t, count(*)::BIGINT AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+p AS (SELECT item_id, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN df USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY item_id, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM p WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12_lexical_search(spark, sf):
+    return lexsearch.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
+
+
+def _field(c):
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(({c})::VARCHAR) || ':' || ({c})::VARCHAR END"
+
+
+def _leaf(text):
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+OP13_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT *, {_leaf('text')} AS leaf, {_leaf("replace(text, chr(10), '')")} AS changed,
+    doc_id IS NOT NULL AND xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda z: z::UBIGINT)),
+        lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)), 4294967295::UBIGINT) % 2 = 0 AS tampered
+  FROM documents),
+p AS (SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM d),
+t AS (SELECT source, 0 AS level, 1 AS step, list(leaf ORDER BY doc_id NULLS FIRST, leaf) AS a FROM d GROUP BY source
+      UNION ALL SELECT source, level + 1, step * 3, list_transform(range((len(a) + 2) // 3), lambda i: sha256(array_to_string(a[3 * i + 1 : 3 * i + 3], ''))) FROM t WHERE len(a) > 1),
+s AS (SELECT source, a[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM t WHERE len(a) = 1),
+u AS (SELECT 0 AS level, 1 AS step, list(subroot ORDER BY place) AS a FROM s
+      UNION ALL SELECT level + 1, step * 3, list_transform(range((len(a) + 2) // 3), lambda i: sha256(array_to_string(a[3 * i + 1 : 3 * i + 3], ''))) FROM u WHERE len(a) > 1),
+w AS (SELECT r, level, p.place // step AS i, a FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source WHERE len(a) > 1
+      UNION ALL SELECT r, 1000 + level, s.place // step, a FROM p JOIN s ON p.source IS NOT DISTINCT FROM s.source, u WHERE len(a) > 1),
+x AS (SELECT r, level, array_to_string(a[i - i % 3 + 1 : i], '') AS l, array_to_string(a[i + 2 : i - i % 3 + 3], '') AS r2 FROM w),
+y AS (SELECT r, string_agg(l || r2, '' ORDER BY level) AS proof, list({{'l': l, 'r': r2}} ORDER BY level) AS steps FROM x GROUP BY r),
+z AS (SELECT p.*, subroot, (SELECT a[1] FROM u WHERE len(a) = 1) AS root, coalesce(proof, '') AS proof, coalesce(steps, []) AS steps
+      FROM p JOIN s ON p.source IS NOT DISTINCT FROM s.source LEFT JOIN y USING (r)),
+f AS (SELECT *, list_reduce(list_prepend({{'l': CASE WHEN tampered THEN changed ELSE leaf END, 'r': ''}}, steps),
+        lambda x, y: {{'l': sha256(y.l || x.l || y.r), 'r': ''}}).l AS folded_root FROM z)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified FROM f
+"""
+
+
+@query("op13_merkle", OP13_SQL)
+def op13_merkle(spark, sf):
+    docs = table(spark, sf, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    less = merkle.leaf(*[F.col(c) for c in fields[:-1]], F.translate("text", "\n", ""))
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.unhex(less))
+    rows = merkle.manifest(docs, fields, carry={"changed": changed})
+    given = F.coalesce(F.lower(F.hex("changed")), F.col("leaf"))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+                       merkle.fold(given, F.col("path"), F.col("shape")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
