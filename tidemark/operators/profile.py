@@ -1,13 +1,15 @@
 """Table profiles.
 
 One profile = one aggregate for the null counts plus one grouped aggregate for
-duplicate rows (NULL equals NULL there, as in a row comparison).  The worst
-null column is chosen inside Spark (first column on ties); no per-column loop
-of jobs and nothing collected.
+duplicate rows (NULL equals NULL there, as in a row comparison); all tables of a
+folder share both.  The worst null column is chosen inside Spark (first column on
+ties); no loop of jobs over columns or files and nothing collected.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +51,8 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return per_row.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
-def profile(df: DataFrame, name: str) -> DataFrame:
-    """rows, columns, duplicate rows, worst NULL column and its percent."""
+def _nulls(df: DataFrame, name: str) -> DataFrame:
+    """rows, columns, worst NULL column and its percent of one table, one pass."""
     cols = df.columns
     nulls = null_counts(df)
     if cols:
@@ -61,43 +63,73 @@ def profile(df: DataFrame, name: str) -> DataFrame:
     else:
         worst_name, worst_n = F.lit(None).cast("string"), F.lit(0).cast("long")
     pct = round_ratio(worst_n * 100, F.greatest(F.col("_rows"), F.lit(1)), 2)
-    head = nulls.select(
+    return nulls.select(
         F.lit(name).alias("table"), F.col("_rows").cast("long").alias("rows"),
-        F.lit(len(cols)).cast("int").alias("columns"),
+        F.lit(len(cols)).cast("int").alias("columns"), F.lit(None).cast("long").alias("duplicate_rows"),
         worst_name.alias("worst_null_col"),
         F.coalesce(pct, F.lit(0).cast("decimal(18,2)")).alias("worst_null_pct"))
-    # two one-row results side by side without a join: stack them and take
-    # each column's non-NULL value (a two-row aggregate, not a cross join)
-    top = head.withColumn("duplicate_rows", F.lit(None).cast("long"))
-    dups = duplicate_rows(df).select(
-        F.lit(name).alias("table"), F.lit(None).cast("long").alias("rows"), F.lit(None).cast("int").alias("columns"),
-        F.lit(None).cast("string").alias("worst_null_col"),
-        F.lit(None).cast("decimal(18,2)").alias("worst_null_pct"), "duplicate_rows")
-    both = top.unionByName(dups).groupBy("table").agg(
+
+
+def _hashed(df: DataFrame, name: str) -> DataFrame:
+    """table, row (every value as text, NULLs kept) and a 64-bit hash of it."""
+    whole = F.array(*[F.hex(f"`{f.name}`") if f.dataType.typeName() == "binary" else F.col(f"`{f.name}`").cast("string")
+                      for f in df.schema.fields]).cast("array<string>")
+    row = df.select(whole.alias("row"))
+    mask = F.array_join(F.transform("row", lambda x: F.when(x.isNull(), "1").otherwise("0")), "")
+    return row.select(F.lit(name).alias("table"), "row", F.xxhash64("row", mask).alias("h"))
+
+
+def profile_all(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """rows, columns, duplicate rows, worst NULL column and its percent of every
+    table (X1), all tables in one plan.
+
+    Duplicates are found for all tables together: row hashes of every table are
+    counted in one aggregate (8 bytes a row cross the network, copies combine
+    map-side), the repeated ones are written once, and only their rows are compared
+    whole.  What runs is two jobs, however many tables there are."""
+    heads = hashes = None
+    for name, df in tables.items():
+        head, hashed = _nulls(df, name), _hashed(df, name)
+        heads = head if heads is None else heads.unionByName(head)
+        hashes = hashed if hashes is None else hashes.unionByName(hashed)
+    repeated = hashes.groupBy("table", "h").agg(F.count("*").alias("n")).where("n > 1").select("table", "h")
+    repeated = maybe_broadcast(materialize(repeated, "repeated_hashes"))
+    copies = (hashes.join(repeated, ["table", "h"], "left_semi").groupBy("table", "row").agg(F.count("*").alias("n"))
+              .groupBy("table").agg(F.sum(F.col("n") - 1).alias("more")))
+    more = copies.select("table", F.lit(None).cast("long").alias("rows"), F.lit(None).cast("int").alias("columns"),
+                         F.col("more").cast("long").alias("duplicate_rows"), F.lit(None).cast("string").alias("worst_null_col"),
+                         F.lit(None).cast("decimal(18,2)").alias("worst_null_pct"))
+    both = heads.unionByName(more).groupBy("table").agg(
         *[F.max(c).alias(c) for c in ("rows", "columns", "duplicate_rows", "worst_null_col", "worst_null_pct")])
-    return both.select("table", "rows", "columns", "duplicate_rows", "worst_null_col", "worst_null_pct")
+    return both.select("table", "rows", "columns", F.coalesce("duplicate_rows", F.lit(0)).cast("long").alias("duplicate_rows"),
+                       "worst_null_col", "worst_null_pct")
+
+
+def profile(df: DataFrame, name: str) -> DataFrame:
+    """The profile of one table."""
+    return profile_all({name: df})
 
 
 def profile_dir(spark: SparkSession, path: str) -> DataFrame:
-    """Every ``*.csv`` then every ``*.parquet`` of a folder, sorted by name,
-    one profile each (X2).  CSV files are read with a header, all strings."""
+    """Every ``*.csv`` and every ``*.parquet`` of a folder, one profile each, CSV files
+    first and by name (X2).  CSV files are read with a header, all strings; of two
+    files that differ only in their ending each is profiled.  All files are profiled
+    in one plan (see ``profile_all``)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = sorted(s.getPath().getName() for s in fs.listStatus(p))
-    csvs = [n for n in names if n.endswith(".csv")]
-    parquets = [n for n in names if n.endswith(".parquet")]
-    out = None
-    for n in csvs + parquets:
+    files = [n for n in names if n.endswith(".csv")] + [n for n in names if n.endswith(".parquet")]
+    if not files:
+        return spark.createDataFrame([], PROFILE_SCHEMA)
+    tables = {}
+    for i, n in enumerate(files):
         full = f"{path.rstrip('/')}/{n}"
         # records may hold line breaks and doubled quotes inside quotes
-        df = (spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(full)
-              if n.endswith(".csv") else spark.read.parquet(full))
-        one = profile(df, n.rsplit(".", 1)[0])
-        out = one if out is None else out.unionByName(one)
-    if out is None:
-        return spark.createDataFrame([], PROFILE_SCHEMA)
-    return out
+        tables[f"{i:06d} {n.rsplit('.', 1)[0]}"] = (
+            spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(full)
+            if n.endswith(".csv") else spark.read.parquet(full))
+    return profile_all(tables).orderBy("table").withColumn("table", F.substring("table", 8, 1 << 30))
 
 
 def null_pct(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ and the four ways to find them (S10-S15, P10).
   one with explicit locations (unregistered folders are invisible; a repair
   only discovers ``key=value`` folders, so it finds nothing here);
 * projection: enumerate partition values from enums and padded integer
-  ranges, prune them by the wanted values, render paths from a template and
+  ranges, prune them by the wanted values, render one pattern from a template and
   read only the folders that exist (data outside the ranges is invisible).
 The optimised copy is Snappy Parquet partitioned by ``event_type``.
 """
@@ -15,7 +15,6 @@ The optimised copy is Snappy Parquet partitioned by ``event_type``.
 from __future__ import annotations
 
 import gzip
-import os
 import re
 import uuid
 from collections.abc import Mapping, Sequence
@@ -44,6 +43,13 @@ PATH_TEMPLATE = "${event_type}/${y}/${m}/${d}/${h}"
 PATH_PATTERN = r"/([^/]+)/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]+$"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark itself takes it for."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return re.sub(r"^file:/+", "file:///", fs.makeQualified(p).toString())
+
+
 def land_events(df: DataFrame, root: str) -> DataFrame:
     """Write events as gzip JSON lines under ``root/<type>/<yyyy>/<MM>/<dd>/<HH>/``.
 
@@ -52,10 +58,11 @@ def land_events(df: DataFrame, root: str) -> DataFrame:
     File names are fixed per input split and each file is written under a
     temporary name and then moved into place, so task retries replace their
     own output instead of duplicating events.  Executors write through
-    Arrow's file-system layer (local paths, ``file:``, ``s3://``, ``hdfs://``).
+    Arrow's file-system layer (``file:``, ``s3://``, ``hdfs://``); a path without a
+    scheme is on the session's default file system.
     Returns one row with the number of files and rows written."""
     cols = [f.name for f in EVENT_SCHEMA.fields]
-    uri = root if "://" in root else "file://" + os.path.abspath(root.replace("file:", "", 1))
+    uri = qualified(df.sparkSession, root)
 
     def write(batches):
         import pandas as pd
@@ -157,18 +164,47 @@ def projected_partitions(spark: SparkSession, enums: Mapping[str, Sequence[str]]
     return spec
 
 
+def projected_glob(enums: Mapping[str, Sequence[str]], ranges: Mapping[str, tuple[int, int, int]],
+                   wanted: Mapping[str, str] | None = None, template: str = PATH_TEMPLATE) -> str | None:
+    """The declared, wanted partitions as one glob pattern: the values of each
+    dimension side by side, not their combinations.  None: a dimension has no value."""
+    def quoted(v):
+        return re.sub(r"([\\{}\[\]*?,])", r"\\\1", str(v))
+
+    parts = {}
+    for c in re.findall(r"\$\{(\w+)\}", template):
+        if c in enums:
+            values = [str(v) for v in enums[c]]
+        else:
+            lo, hi, digits = ranges[c]
+            values = [str(v).zfill(digits) for v in range(lo, hi + 1)]
+        values = [v for v in values if c not in (wanted or {}) or v == str(wanted[c])]
+        if not values:
+            return None
+        parts[c] = "{" + ",".join(quoted(v) for v in values) + "}"
+    return render(template, parts)
+
+
+def projected_folders(spark: SparkSession, root: str, pattern: str | None) -> list[str]:
+    """The folders that match: the file system walks the pattern level by level and
+    lists only what exists, so the cost is that of the folders there are, whatever
+    the declared ranges span."""
+    if pattern is None:
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{pattern}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(p)
+    return [s.getPath().toString() for s in found] if found else []
+
+
 def read_projected(spark: SparkSession, root: str, enums: Mapping[str, Sequence[str]],
                    ranges: Mapping[str, tuple[int, int, int]], wanted: Mapping[str, str] | None = None,
                    template: str = PATH_TEMPLATE) -> DataFrame:
     """Read only the projected, wanted, existing folders.
 
-    The pruned spec is partition metadata (bounded by the declared ranges),
-    so its rows are brought to the driver to test which folders exist; the
-    data itself is read by the executors."""
-    spec = projected_partitions(spark, enums, ranges, wanted)
-    cols = spec.columns
-    paths = [f"{root.rstrip('/')}/{render(template, r.asDict())}" for r in spec.select(*cols).collect()]
-    present = existing_paths(spark, root, paths)
+    Folders are found by one pattern over the declared values; Spark lists the files
+    in them as a distributed job where there are many."""
+    present = projected_folders(spark, root, projected_glob(enums, ranges, wanted, template))
     if not present:
         empty = spark.createDataFrame([], EVENT_SCHEMA).drop("event_type")
         for c in PART_COLS:
