@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleanse import blank_to_null, map_province
@@ -86,8 +86,12 @@ def quarantined_keys(changes: DataFrame, pk: Sequence[str]) -> DataFrame:
     return bad
 
 
-def initial_load(latest: DataFrame) -> DataFrame:
-    """First load (C2): latest rows whose Op is not 'D' become the table."""
+def initial_load(latest: DataFrame, observe: Observation | None = None) -> DataFrame:
+    """First load (C2): latest rows whose Op is not 'D' become the table.
+    ``observe`` takes the counts of ``action_counts`` as the result is written."""
+    if observe:
+        live = F.coalesce(F.col("Op") != "D", F.lit(False))
+        latest = latest.observe(observe, *action_counts(F.when(live, ACTION_INSERT).otherwise(ACTION_IGNORE)))
     return latest.where(F.col("Op") != "D").drop("Op")
 
 
@@ -111,11 +115,12 @@ def merge_plan(target: DataFrame, latest: DataFrame, pk: Sequence[str],
     op = F.col("_s_Op")
     is_delete = F.coalesce(op == "D", F.lit(False))
     inserts = F.coalesce(op != "D", F.lit(False))
-    action = F.when(~in_s, ACTION_KEEP).when(in_t & is_delete, ACTION_DELETE)
-    if ignore_stale:
+    action = F.when(~in_s, ACTION_KEEP)
+    if ignore_stale:  # a late delete does not remove a newer row either
         action = action.when(in_t & (F.col("_s__cdc_ts") < F.col("_t__cdc_ts")), ACTION_STALE)
     action = (
-        action.when(in_t, ACTION_UPDATE)
+        action.when(in_t & is_delete, ACTION_DELETE)
+        .when(in_t, ACTION_UPDATE)
         .when(inserts, ACTION_INSERT)
         .otherwise(ACTION_IGNORE)
     )
@@ -130,7 +135,7 @@ def merge_plan(target: DataFrame, latest: DataFrame, pk: Sequence[str],
 
 def apply_changes(target: DataFrame, latest: DataFrame, pk: Sequence[str],
                   ignore_stale: bool = False, broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-                  broadcast_keys: bool | None = None) -> DataFrame:
+                  broadcast_keys: bool | None = None, observe: Observation | None = None) -> DataFrame:
     """New table state after one batch.
 
     When the batch's keys are small (estimated under ``broadcast_limit``) and
@@ -138,32 +143,36 @@ def apply_changes(target: DataFrame, latest: DataFrame, pk: Sequence[str],
     broadcast: rows the batch does not touch stream through without any
     shuffle, and only the touched rows meet the batch in the merge join.
     Otherwise one full outer join of table and batch is cheaper.
-    ``broadcast_keys`` forces either plan (the caller knows the batch size)."""
+    ``broadcast_keys`` forces either plan (the caller knows the batch size).
+    ``observe`` takes the counts of ``action_counts`` as the result is written,
+    without a pass of its own."""
+    def live(plan: DataFrame) -> DataFrame:
+        if observe:
+            plan = plan.observe(observe, *action_counts(F.col("_action")))
+        return plan.where(F.col("_action").isin(*LIVE_ACTIONS)).drop("_action")
+
     if broadcast_keys is None:
         broadcast_keys = worth_broadcasting_keys(target, latest.select(*pk), broadcast_limit)
     if broadcast_keys:
         keys = F.broadcast(latest.select(*pk))
         untouched = target.join(keys, list(pk), "left_anti")
         touched = target.join(keys, list(pk), "left_semi")
-        plan = merge_plan(touched, latest, pk, ignore_stale)
-        merged = plan.where(F.col("_action").isin(*LIVE_ACTIONS)).drop("_action")
-        return untouched.unionByName(merged)
-    plan = merge_plan(target, latest, pk, ignore_stale)
-    return plan.where(F.col("_action").isin(*LIVE_ACTIONS)).drop("_action")
+        return untouched.unionByName(live(merge_plan(touched, latest, pk, ignore_stale)))
+    return live(merge_plan(target, latest, pk, ignore_stale))
+
+
+def action_counts(a: Column) -> list[Column]:
+    """Counts by merge action; ``latest_rows`` counts every latest change, deletes included."""
+    return [F.count_if(a == ACTION_INSERT).alias("inserted"),
+            F.count_if(a == ACTION_UPDATE).alias("updated"),
+            F.count_if(a == ACTION_DELETE).alias("deleted"),
+            F.count_if(a.isin(ACTION_IGNORE, ACTION_STALE)).alias("ignored"),
+            F.count_if(a != ACTION_KEEP).alias("latest_rows")]
 
 
 def applied_counts(plan: DataFrame, table: str) -> DataFrame:
-    """Counts by action from the merge's own output, in one pass.
-
-    ``latest_rows`` counts every latest change, deletes included."""
-    a = F.col("_action")
-    return plan.agg(
-        F.count_if(a == ACTION_INSERT).alias("inserted"),
-        F.count_if(a == ACTION_UPDATE).alias("updated"),
-        F.count_if(a == ACTION_DELETE).alias("deleted"),
-        F.count_if(a.isin(ACTION_IGNORE, ACTION_STALE)).alias("ignored"),
-        F.count_if(a != ACTION_KEEP).alias("latest_rows"),
-    ).select(F.lit(table).alias("table_name"), "*")
+    """Counts by action from the merge's own output, in one pass."""
+    return plan.agg(*action_counts(F.col("_action"))).select(F.lit(table).alias("table_name"), "*")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import calendar_days, to_ts
@@ -62,11 +62,17 @@ def order_header(orders: DataFrame) -> DataFrame:
     )
 
 
+def at_risk(as_of: str) -> Column:
+    """Undelivered, not closed, and promised before ``as_of``; over an order's or a
+    fact line's columns."""
+    return (F.col("delivered_ts").isNull() & ~F.col("order_status").isin(*CLOSED_STATUSES)
+            & (F.col("estimated_delivery") < F.lit(as_of).cast("timestamp")))
+
+
 def _lines(items: DataFrame, header: DataFrame, as_of: str) -> DataFrame:
     extra = [c for c in header.columns if c == "customer_key"]
     j = items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value") \
         .join(header, "order_id")
-    now = F.lit(as_of).cast("timestamp")
     delivered, promised = F.col("delivered_ts"), F.col("estimated_delivery")
     return j.select(
         "order_id", F.col("order_item_id").cast("int").alias("order_item_id"), *extra, "customer_id",
@@ -76,7 +82,7 @@ def _lines(items: DataFrame, header: DataFrame, as_of: str) -> DataFrame:
         (F.col("price") + F.col("freight_value")).cast("decimal(10,2)").alias("line_total"),
         calendar_days(delivered, "order_ts").alias("delivery_days"),
         (delivered.isNotNull() & (delivered > promised)).alias("is_late"),
-        (delivered.isNull() & ~F.col("order_status").isin(*CLOSED_STATUSES) & (promised < now)).alias("at_risk"),
+        at_risk(as_of).alias("at_risk"),
     )
 
 

@@ -76,11 +76,13 @@ def freshness(run_log: DataFrame, now: str) -> DataFrame:
 
 def scan_cost(query_log: DataFrame, last_n: int = 50, usd_per_tib: float = USD_PER_TIB) -> DataFrame:
     """Bytes scanned and their price over the newest ``last_n`` queries (M6):
-    ``query_log(query_id, submitted_at, scanned_bytes)``."""
+    ``query_log(query_id, submitted_at, scanned_bytes)``, as ``run_validations``
+    writes it; a failed query scanned an unknown number of bytes and counts 0."""
     newest = query_log.orderBy(F.col("submitted_at").desc(), F.col("query_id").desc()).limit(last_n)
     return newest.agg(
         F.count("*").alias("queries"),
         F.coalesce(F.sum("scanned_bytes"), F.lit(0)).cast("long").alias("scanned_bytes"),
+        *([F.coalesce(F.sum("scanned_files"), F.lit(0)).cast("long").alias("scanned_files")] if "scanned_files" in query_log.columns else []),
     ).withColumn("cost_usd", F.round(F.col("scanned_bytes") / F.lit(TIB) * F.lit(usd_per_tib), 6))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleanse import status_step
@@ -23,7 +23,7 @@ from tidemark.plans import business as B
 from tidemark.plans import curated as CU
 from tidemark.plans import metrics as M
 from tidemark.plans import pipeline as P
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources import events as EV
 from tidemark.sources import fixtures as X
 from tidemark.sources import formats as FM
@@ -263,8 +263,9 @@ VALIDATIONS = [
 @query("validations")
 def q_validations(spark, sf):
     c = CU.curated(spark, sf)
-    return P.run_validations(spark, VALIDATIONS, fact=CU.fact(spark, sf), dim_customer=c.dim_customer,
-                             dim_date=c.dim_date)
+    states = P.run_validations(spark, VALIDATIONS, fact=CU.fact(spark, sf), dim_customer=c.dim_customer,
+                               dim_date=c.dim_date)
+    return states.select("name", "state", "rows", "error")
 
 
 @query("publish_blocked")
@@ -324,15 +325,6 @@ def q_freshness(spark, sf):
     return M.freshness(load_run_log(spark, sf), FRESHNESS_NOW)
 
 
-@query("scan_cost")
-def q_scan_cost(spark, sf):
-    """Bytes and price of a full scan of every driver table, newest 50."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf)
-             .select(F.col("path").alias("query_id"), F.col("modificationTime").alias("submitted_at"),
-                     F.col("length").alias("scanned_bytes")))
-    return M.scan_cost(files, 50)
-
-
 # ---- step 8: governance -------------------------------------------------------
 
 ROLE_SQLS = [
@@ -431,9 +423,12 @@ def q_events_registered(spark, sf):
     root = landed_events(spark, sf)
     name = "events_manual_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
     EV.create_events_table(spark, name, root)
-    EV.add_partitions(spark, name, REGISTERED, root)
-    return spark.table(name).groupBy("event_type", "h").agg(
-        F.count("*").alias("events"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("decimal(18,2)").alias("amount"))
+    try:
+        EV.add_partitions(spark, name, REGISTERED, root)
+        return materialize(spark.table(name).groupBy("event_type", "h").agg(
+            F.count("*").alias("events"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("decimal(18,2)").alias("amount")), "events-registered")
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # external: the files stay
 
 
 @query("events_projected")
@@ -469,19 +464,6 @@ def q_events_parquet(spark, sf):
     return optimized_events(spark, sf)
 
 
-@query("file_inventory")
-def q_file_inventory(spark, sf):
-    """What is certain of the listing: there are files, their sizes add up, and a
-    filter on one type lists fewer of them."""
-    events = optimized_events(spark, sf)
-    both = T.file_inventory(events).withColumn("whole", F.lit(True)).unionByName(
-        T.file_inventory(events.where("event_type = 'pos_sale'")).withColumn("whole", F.lit(False)))
-    of = lambda c, whole=True: F.max(F.when(F.col("whole") == whole, F.col(c)))
-    files = of("files")
-    return both.agg((files > 0).alias("has_files"), (of("files", False) < files).alias("pruned"),
-                    (F.abs(of("avg_file_mb") * files - of("total_mb")) < 0.1 + 0.01 * files).alias("adds_up"))
-
-
 def written_fact(spark, sf):
     key = CU._memo_key(spark, "written_fact", sf)
     if key not in CU._MEMO:
@@ -499,13 +481,16 @@ def q_compacted(spark, sf):
 
 @query("format_sizes")
 def q_format_sizes(spark, sf):
+    """Rows and shares of CSV of every written format, each read back and listed."""
     c = CU.curated(spark, sf)
     joined = c.orders.join(c.items, "order_id")
-    sizes = FM.format_sizes(joined, scratch_path(spark, "formats"))
-    csv = F.max(F.when(F.col("format") == "csv", F.col("bytes")))
-    by = lambda f: F.max(F.when(F.col("format") == f, F.col("bytes")))
-    return sizes.agg(F.count("*").alias("formats"), (by("csv_gz") < csv).alias("gzip_smaller"),
-                     (by("parquet") < csv).alias("parquet_smaller"))
+    out = scratch_path(spark, "formats")
+    sizes = FM.format_sizes(joined, out)
+    back = FM.read_back(spark, out)
+    csv = F.max(F.when(F.col("format") == "csv", F.col("listed_bytes"))).over(Window.partitionBy())
+    return sizes.join(back, "format", "left").select(
+        "format", "rows", (F.col("bytes") == F.col("listed_bytes")).alias("bytes_listed"),
+        (F.abs(F.col("pct_of_csv") - F.col("listed_bytes") * 100.0 / csv) < 0.051).alias("pct_listed"))
 
 
 @query("seeded_sample")
@@ -642,3 +627,6 @@ def q_pipeline_outcomes(spark, sf):
             "published_lines"))
         out = row if out is None else out.unionByName(row)
     return out.groupBy("run_id").agg(*[F.max(c).alias(c) for c in ("outcome", "score", "published_lines")])
+
+
+from tidemark import registry_jobs  # noqa: E402,F401  (registers its queries here)

@@ -59,3 +59,16 @@ def format_sizes(df: DataFrame, out_dir: str, report_path: str | None = None) ->
         from tidemark.sources.files import write_report
         write_report(report, report_path)
     return report
+
+
+def read_back(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``(format, rows, listed_bytes)`` of every variant that was written."""
+    from tidemark.sources.scans import listed
+    out = None
+    for label, fmt, opts in FORMATS:
+        if format_available(spark, fmt):
+            data = spark.read.format(fmt).options(**opts).load(f"{out_dir.rstrip('/')}/{label}")
+            one = data.agg(F.count("*").alias("rows")).select(
+                F.lit(label).alias("format"), "rows", F.lit(listed(data).bytes).cast("long").alias("listed_bytes"))
+            out = one if out is None else out.unionByName(one)
+    return out

@@ -131,7 +131,7 @@ def partition_folder(spark: SparkSession, path: str, col: str, value) -> str:
 
 
 def merge_into_partitions(spark: SparkSession, path: str, latest: DataFrame, keys: Sequence[str], part_col: str,
-                          ignore_stale: bool = False, rows_move: bool = True) -> DataFrame:
+                          ignore_stale: bool = False, rows_move: bool = True, observe=None) -> DataFrame:
     """Apply latest changes (with ``Op``) to a partitioned Parquet folder,
     rewriting only the touched partitions (C3/C4 on plain files).
 
@@ -145,7 +145,8 @@ def merge_into_partitions(spark: SparkSession, path: str, latest: DataFrame, key
     concurrent merges do not see each other's mode; a touched partition left
     with no rows is removed.  Re-running the same changes converges to the
     same table, which is what makes a retry after a failure mid-way safe; plain
-    files give no multi-partition atomicity.  Returns the touched values."""
+    files give no multi-partition atomicity.  ``observe`` takes the merge's counts
+    (see ``apply_changes``).  Returns the touched values."""
     from tidemark.operators.changes import apply_changes
     from tidemark.session import materialize
 
@@ -155,16 +156,14 @@ def merge_into_partitions(spark: SparkSession, path: str, latest: DataFrame, key
         parts = parts.unionByName(target.join(latest.select(*keys).distinct(), list(keys), "left_semi").select(part_col))
     touched = materialize(parts.distinct(), "touched")
     values = [r[0] for r in touched.collect()]  # bounded by the touched partitions; prunes the scan
-    here = F.col(part_col).isin([v for v in values if v is not None])
-    affected = target.where(here | F.col(part_col).isNull() if None in values else here)
-    new_rows = materialize(apply_changes(affected, latest, keys, ignore_stale), "merged")
+    affected = target.where(in_partitions(part_col, values))
+    new_rows = materialize(apply_changes(affected, latest, keys, ignore_stale, observe=observe), "merged")
     (new_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))
     left = {r[0] for r in new_rows.select(part_col).distinct().collect()}
     for v in values:
         if v not in left:
-            fs, p = _fs(spark, partition_folder(spark, path, part_col, v))
-            fs.delete(p, True)
+            delete_partition(spark, path, part_col, v)
     return touched
 
 
@@ -181,26 +180,39 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def write_fact(df: DataFrame, path: str, part_col: str = "order_month", mode: str = "error") -> None:
+def in_partitions(part_col: str, values: Sequence) -> Column:
+    """The rows of these partitions, NULL among them or not; prunes the scan."""
+    here = F.coalesce(F.col(part_col).isin([v for v in values if v is not None]), F.lit(False))
+    return here | F.col(part_col).isNull() if None in values else here
+
+
+def delete_partition(spark: SparkSession, path: str, part_col: str, value) -> None:
+    fs, p = _fs(spark, partition_folder(spark, path, part_col, value))
+    fs.delete(p, True)
+
+
+def write_fact(df: DataFrame, path: str, part_col: str = "order_month", mode: str = "error", dynamic: bool = False) -> None:
     """Month-partitioned fact write (S9).  ``rebalance`` on the partition
     column gives about one file per month per advisory size: adaptive
     execution splits a month holding much of the data over several tasks and
-    merges small months, instead of every task writing a file per month."""
-    df.hint("rebalance", part_col).write.mode(mode).partitionBy(part_col).parquet(path)
+    merges small months, instead of every task writing a file per month.
+    ``dynamic`` overwrites only the partitions that ``df`` has rows of."""
+    (df.hint("rebalance", part_col).write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+     .partitionBy(part_col).parquet(path))
 
 
 # ---- file inventory and compaction ------------------------------------------
 def file_inventory(df: DataFrame) -> DataFrame:
-    """Data files behind a file-based DataFrame: count, total MB (1 dp),
-    average MB (2 dp).  Reads only the per-file metadata columns, so a pruned
-    scan lists what it would read; ``folder_bytes`` lists a folder without any scan."""
-    files = df.groupBy(F.col("_metadata.file_path").alias("p")).agg(F.max("_metadata.file_size").alias("s"))
-    mb = F.lit(1024.0 * 1024.0)
-    return files.agg(
-        F.count("*").alias("files"),
-        F.round(F.sum("s") / mb, 1).alias("total_mb"),
-        F.round(F.avg("s") / mb, 2).alias("avg_file_mb"),
-    )
+    """Data files behind a file-based DataFrame (S16): count, total MB (1 dp),
+    average MB (2 dp), NULL for none.
+
+    From the scan's own listing after partition pruning, so a filter on partition
+    columns lists only what it would read; neither a row nor a footer is read."""
+    from tidemark.sources.scans import listed
+    found, mb = listed(df), F.lit(1024.0 * 1024.0)
+    row = df.sparkSession.createDataFrame([(found.files, found.bytes)], "files long, bytes long")
+    return row.select("files", F.round(F.col("bytes") / mb, 1).alias("total_mb"),
+                      F.when(F.col("files") > 0, F.round(F.col("bytes") / mb / F.col("files"), 2)).alias("avg_file_mb"))
 
 
 def folder_bytes(spark: SparkSession, path: str) -> DataFrame:
@@ -217,17 +229,17 @@ def compact(spark: SparkSession, path: str, out: str, target_mb: int = 128,
     The ``rebalance`` hint lets adaptive execution cut the data into
     partitions of about ``target_mb`` each (splitting a large partition value
     over several tasks, merging small ones) instead of one task per value."""
-    df = spark.read.parquet(path)
-    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_mb * 1024 * 1024))
-    try:
-        packed = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-        w = packed.write.mode("error")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(out)
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+    from tidemark.session import apply_core_conf
+    # a session of its own, so that no other query runs under its partition size
+    own = spark.newSession()
+    apply_core_conf(own)
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_mb * 1024 * 1024))
+    df = own.read.parquet(path)
+    packed = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    w = packed.write.mode("error")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(out)
     return spark.read.parquet(out)
 
 
