@@ -196,6 +196,7 @@ def manifest(docs: DataFrame, fields: list[str], group_col: str = "source", id_c
     spark = docs.sparkSession
     rows = docs.select(F.col(group_col).alias("group"), F.col(id_col).alias("id"), F.unhex(leaf(*[F.col(c) for c in fields])).alias("digest"),
                        *[c.alias(f"carried_{n}") for n, c in carry.items()])
+    rows = materialize(rows, "merkle-digests")  # texts are hashed once; the sort below reads its input twice
     payload = ["id", *[f"carried_{n}" for n in carry]]
     leaves = numbered(rows, "group", ["id", "digest"])
     # groups get the numbers of their trees in their order
@@ -238,15 +239,14 @@ def proof_text(path: Column) -> Column:
 
 def fold(digest: Column, path: Column, shape: Column) -> Column:
     """The root that a leaf (hex) and a proof lead to."""
-    hexed = proof_text(path)
     steps = F.filter(F.split(shape, ""), lambda c: c != "")
-    start = F.struct(digest.alias("node"), F.lit(1).alias("at"))
+    start = F.struct(digest.alias("node"), proof_text(path).alias("proof"), F.lit(1).alias("at"))
 
     def step(state, c):
         code = c.cast("int")
         left, right = F.floor(code / ARITY).cast("int") * 64, (code % ARITY) * 64
-        at = state["at"]
-        return F.struct(F.sha2(F.concat(F.substr(hexed, at, left), state["node"], F.substr(hexed, at + left, right)), 256).alias("node"),
-                        (at + left + right).alias("at"))
+        proof, at = state["proof"], state["at"]
+        return F.struct(F.sha2(F.concat(F.substr(proof, at, left), state["node"], F.substr(proof, at + left, right)), 256).alias("node"),
+                        proof.alias("proof"), (at + left + right).alias("at"))
 
     return F.aggregate(steps, start, step, lambda s: s["node"])

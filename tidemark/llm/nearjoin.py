@@ -51,6 +51,7 @@ from tidemark.llm import bytewords as B
 from tidemark.llm.batches import small_batches
 from tidemark.llm.components import components
 from tidemark.llm.shingles import set_digests, shingle_sets
+from tidemark.llm.workers import release
 from tidemark.operators.relational import maybe_broadcast
 from tidemark.session import materialize
 
@@ -62,7 +63,9 @@ BLOCK = 8_192
 #: Rows of routes that one task walks together (more are cut by route).
 ANCHOR_ROWS = 262_144
 #: Classes that one class is compared with in a round of contraction.
-CONTRACT_PAIRS = 4
+CONTRACT_PAIRS = 2
+#: Sets that a task remembers to have met (a saving, whatever it forgets).
+SEEN = 1 << 16
 FANOUT = 8
 
 
@@ -71,6 +74,7 @@ def frequent_shingles(texts: DataFrame, k: int) -> np.ndarray:
     """The shingles that most documents hold, by the sum over tasks of counts
     of those that at least one in 1000 of a task's documents holds."""
     def count(batches):
+        release()
         held, docs = [], 0
 
         def flush():
@@ -117,6 +121,7 @@ def summaries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Da
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def each(batches):
+        release()
         frequent, seen = known.value, set()
         for batch in batches:
             ids = batch.column(0)
@@ -142,7 +147,7 @@ def summaries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Da
                         r = np.concatenate([r[~hot], *(B.mix(r[hot] + np.uint64(x * 0x9E3779B9 + 1)) for x in (band, band + 1))])
                     routes.append(r.view(np.int64))
                     bits.append(bitmap(h[b:e]))
-                if len(seen) > 1 << 20:
+                if len(seen) > SEEN:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, last - first), batch.column(2).slice(first, last - first), pa.array(sizes, pa.int64()), pa.array(d1.view(np.int64)),

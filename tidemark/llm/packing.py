@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as B
 from tidemark.llm.batches import small_batches
+from tidemark.llm.workers import held
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published pre-token pattern of this vocabulary.
@@ -38,9 +39,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PAD = 50256
 #: Segments are packed in windows of about so many tokens.
 WINDOW_TOKENS = 1 << 20
-CACHE_PARTS = 600_000
-PIECE_BYTES = 2 << 20
-_encoders: dict = {}
+CACHE_PARTS = 200_000
+PIECE_BYTES = 1 << 19
 
 
 class Encoder:
@@ -121,9 +121,10 @@ CUTS[0x20] = True
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    kept = held("packing")
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 class Capacity:
