@@ -144,3 +144,54 @@ def test_one_of_each(odd_rows, clashing):
     nameless = sum(1 for i, n, c in want if n and c is None)
     assert sorted(r[0] for r in rows if shingles(r[1], 5) and r[0] is not None) == sorted(named)
     assert len(rows) == len(named) + empties + nameless
+
+
+# ---- which path gives what -------------------------------------------------
+def test_forests_equal_plain_pairs():
+    """Pairs of whole routes by trees: every pair that links, none across routes."""
+    rng = np.random.default_rng(5)
+    sets = [rng.choice(4000, int(rng.integers(3, 400)), replace=False).astype(np.uint64) for _ in range(60)]
+    sets += [np.append(s[: max(1, len(s) - 2)], np.uint64(5000 + i)) for i, s in enumerate(sets)] + sets[:5]
+    sets = [nearjoin.B.mix(s) for s in sets]
+    n, c = np.array([len(s) for s in sets]), np.arange(len(sets))
+    route = rng.integers(0, 9, len(sets))
+    route[60:120] = route[:60]
+    label = np.where(c >= 120, c - 120, c)  # the last ones are in the component of the first
+    got = set()
+    for a, b in nearjoin.small_routes(route, n, c, label, [nearjoin.bitmap(s) for s in sets], 80):
+        pairs = list(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
+        assert len(pairs) == len(set(pairs)) and all(route[i] == route[j] and label[i] != label[j] for i, j in pairs)
+        got |= set(pairs)
+    links = {(i, j) for j in range(len(sets)) for i in range(j) if route[i] == route[j] and label[i] != label[j]
+             and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    assert links and links <= got and len(got) < 3 * len(links) + 20
+
+
+def test_forest_nodes_hold_their_leaves():
+    rng = np.random.default_rng(6)
+    n, route, label = rng.integers(1, 50, 30), np.sort(rng.integers(0, 6, 30)), rng.integers(0, 9, 30)
+    bits = rng.integers(0, 1 << 62, (30, 2)).astype(np.uint64)
+    f = nearjoin.Forest(route, n, label, bits)
+    for k in range(len(f.route)):
+        leaves = slice(f.at[k], f.at[k + 1])
+        assert 1 <= f.at[k + 1] - f.at[k] <= nearjoin.FANOUT and (route[f.order[leaves]] == f.route[k]).all()
+        assert (np.bitwise_or.reduce(f.leaves[0][leaves], 0) == f.nodes[0][k]).all()
+        assert f.nodes[1][k] == f.leaves[1][leaves].min() and f.nodes[2][k] == f.leaves[2][leaves].max()
+
+
+@pytest.mark.parametrize("contract", [0, 3])
+def test_one_large_near_group_needs_linear_pairs(spark, monkeypatch, contract):
+    """A group of near copies that all link: with contraction the verified pairs grow
+    with the group, and its component is one either way."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    rows = [(i, " ".join([*base[:190], *(f"own{i}x{j}" for j in range(10))]), "en", "a", 1) for i in range(400)]
+    rows += [(1000 + i, words(rng, 60, 3000), "en", "a", 1) for i in range(60)]
+    seen = []
+    plain = nearjoin.verified
+    monkeypatch.setattr(nearjoin, "verified", lambda pairs, sets, percent: seen.append(pairs.count()) or plain(pairs, sets, percent))
+    got = nearjoin.near_components(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5),
+                                   k=4, percent=85, contract=contract).collect()
+    assert {r.component_id for r in got if r.doc_id < 1000} == {0} and sum(r.component_id == r.doc_id for r in got) == 61
+    if contract:
+        assert sum(seen) <= 10 * 400

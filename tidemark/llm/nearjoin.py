@@ -10,10 +10,10 @@ different sets counts, and a document's component is what links reach.
    order puts shingles that many documents hold last.  A shingle that is
    frequent even so is routed by size band as well: linked sets lie in the same
    band or the next one.
-3. *Contraction.*  Each class is compared with a few others, of similar size, that
-   it shares routes with; those that link pull groups of near copies together,
-   so the pairs within such a group need not be looked at.  Done ``contract``
-   times over what is still open.
+3. *Contraction.*  On crowded routes each class is compared with a few others, of
+   similar size, that it shares routes with; those that link pull groups of near
+   copies together, so that the number of pairs within such a group stays linear.
+   Done ``contract`` times over what is still open there.
 4. *Signature trees.*  For every route that still holds several components, a
    tree over the classes in order of size: a leaf is a class with its shingle
    bitmap, a node the OR of its children's bitmaps with their range of sizes,
@@ -61,12 +61,17 @@ FREQUENT = 65_536
 #: Classes of one route that one task holds on either side.
 BLOCK = 8_192
 #: Rows of routes that one task walks together (more are cut by route).
-ANCHOR_ROWS = 262_144
+ANCHOR_ROWS = 32_768
 #: Classes that one class is compared with in a round of contraction.
 CONTRACT_PAIRS = 2
 #: Sets that a task remembers to have met (a saving, whatever it forgets).
 SEEN = 1 << 16
-FANOUT = 8
+#: Children of a node.
+FANOUT = 4
+#: Routes of more classes are contracted before their trees are walked.
+CROWDED = 16
+#: Routes of no more classes are walked together with others.
+SMALL = 64
 
 
 # ---- frequent shingles ---------------------------------------------------
@@ -316,6 +321,69 @@ def dual(a: Tree, b: Tree, percent: int):
         stack.append((la - down_a, lb - down_b, i, j))
 
 
+class Forest:
+    """The trees of many small routes at once: leaves in order of route and size, and
+    above them nodes of up to FANOUT leaves of a route, all of one bitmap width."""
+
+    def __init__(self, route, n, label, bits):
+        self.order = order = np.lexsort((label, n, route))
+        route, n, label, bits = route[order], n[order], label[order], bits[order]
+        spare = n - np.bitwise_count(bits).sum(1, dtype=np.int64)
+        self.leaves = (bits, n, n, label, label, spare)
+        first = np.flatnonzero(np.append(True, route[1:] != route[:-1]))
+        place = np.arange(len(n)) - np.repeat(first, np.diff(np.append(first, len(n))))
+        at = np.flatnonzero(place % FANOUT == 0)
+        self.nodes = (np.bitwise_or.reduceat(bits, at, axis=0), np.minimum.reduceat(n, at), np.maximum.reduceat(n, at),
+                      np.minimum.reduceat(label, at), np.maximum.reduceat(label, at), np.maximum.reduceat(spare, at))
+        self.route, self.at = route[at], np.append(at, len(n))
+
+
+def expand(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of the given sizes: the run of every member, and its place in it."""
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    return run, np.arange(len(run)) - (np.cumsum(sizes) - sizes)[run]
+
+
+def meet(a: Forest, b: Forest, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leaf pairs (places in the forests' inputs) that survive the dual traversal of the
+    trees of each route, from its nodes down."""
+    same = a is b
+    low = np.searchsorted(b.route, a.route)
+    i, j = expand(np.searchsorted(b.route, a.route, "right") - low)
+    j += low[i]
+    if same:
+        i, j = i[i <= j], j[i <= j]
+    i, j = possible(a.nodes, b.nodes, i, j, percent)
+    wide = b.at[j + 1] - b.at[j]
+    pair, k = expand((a.at[i + 1] - a.at[i]) * wide)
+    x, y = a.at[i[pair]] + k // wide[pair], b.at[j[pair]] + k % wide[pair]
+    if same:
+        x, y = x[x < y], y[x < y]
+    x, y = possible(a.leaves, b.leaves, x, y, percent)
+    return a.order[x], b.order[y]
+
+
+def small_routes(route, n, c, label, bits, percent):
+    """Candidate pairs of whole routes of few classes."""
+    width = np.array([len(x) for x in bits])
+
+    def forest(w, as_w):
+        at = np.flatnonzero(width == w)
+        if not len(at):
+            return at, None
+        raw = np.frombuffer(b"".join(bits[x] for x in at), "<u8").reshape(len(at), w // 8)
+        return at, Forest(route[at], n[at], label[at], fold(raw, as_w // 8))
+
+    for w in np.unique(width).tolist():
+        # sizes that link differ by less than a factor of two, so bitmaps too by two at most
+        (at, one), (wide_at, wide) = forest(w, w), forest(2 * w, w)
+        x, y = meet(one, one, percent)
+        yield c[at[x]], c[at[y]]
+        if wide is not None:
+            x, y = meet(one, wide, percent)
+            yield c[at[x]], c[wide_at[y]]
+
+
 def fold(bits: np.ndarray, words: int) -> np.ndarray:
     while bits.shape[1] > words:
         half = bits.shape[1] // 2
@@ -348,30 +416,6 @@ def route_pairs(n, c, label, bits, side, percent):
                         yield c[at_x[i]], c[at_y[j]]
 
 
-def small_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Routes of at most FANOUT classes are trees of one node: their leaf pairs,
-    distinct, with sizes and components that allow a link."""
-    def stream(batches):
-        held = np.zeros((0, 4), np.int64)
-        for batch in batches:
-            held = np.concatenate([held, np.stack([np.asarray(batch.column(i)) for i in range(4)], 1)])
-            last = held[:, 0] == held[-1, 0]
-            yield from give(held[~last])
-            held = held[last]
-        yield from give(held)
-
-    def give(x):
-        for d in range(1, FANOUT):
-            p, q = x[:-d], x[d:]
-            ok = (p[:, 0] == q[:, 0]) & (p[:, 3] != q[:, 3]) & (100 * p[:, 1] >= percent * q[:, 1])
-            if ok.any():
-                u, v = p[ok, 2], q[ok, 2]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
-
-    return (rows.select("route", "n", "c", "label").repartition("route").sortWithinPartitions("route", "n")
-            .mapInArrow(stream, "a long, b long").distinct())
-
-
 def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """(anchor, route, n, c, label, bits, size) of routes with several components ->
     distinct (a, b)."""
@@ -388,12 +432,25 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
             held = batch if held is None else pa.concat_batches([held, batch])
             key = np.stack([np.asarray(held.column(x)) for x in ("route", "g1", "g2")], 1)
             cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist()]
+            few = []  # of whole routes, one after another
             for x, y in zip(cuts, cuts[1:]):
-                yield from one(held.slice(x, y - x))
+                if y - x > SMALL or held.column("side")[x].as_py() != 2:
+                    yield from one(held.slice(x, y - x))
+                else:
+                    few.append(np.arange(x, y))
+            if few:
+                yield from many(held.take(pa.array(np.concatenate(few))))
             held = held.slice(cuts[-1])
         if held is not None and held.num_rows:
             yield from one(held)
 
+    def many(rows):
+        route, n, c, label = (np.asarray(rows.column(x)).astype(np.int64) for x in ("route", "n", "c", "label"))
+        got = list(small_routes(route, n, c, label, rows.column("bits").to_pylist(), percent))
+        a, b = (np.concatenate(x) for x in zip(*got))
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
     met: dict = {"anchor": None, "pairs": np.zeros(0, np.uint64)}
 
     def one(group):
@@ -516,14 +573,17 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         sets = materialize(class_sets(docs, ids, k), "near-sets")
         return materialize(verified(pairs, sets, percent), "near-links")
 
-    def still_open(labels):
-        now = shared.withColumn("label", F.col("c"))
+    def still_open(rows, labels):
+        now = rows.withColumn("label", F.col("c"))
         if labels is not None:
-            now = shared.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
+            now = rows.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
         return materialize(undecided(now.select("route", "n", "c", "label"), percent), "near-undecided")
 
-    labels, tried, open_rows = None, None, still_open(None)
+    labels, tried = None, None
+    many = shared.groupBy(F.col("route").alias("__r")).agg(F.count("*").alias("size")).where(F.col("size") > CROWDED)
+    crowded = materialize(shared.join(many, F.col("route") == F.col("__r"), "left_semi"), "near-crowded")
     for _ in range(contract):
+        open_rows = still_open(crowded, labels)
         votes = open_rows.groupBy("c", "partner").agg(F.count("*").alias("m"))
         if tried is not None:
             votes = votes.join(tried, ["c", "partner"], "left_anti")
@@ -538,12 +598,13 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         if found is None or found.isEmpty():
             break
         labels = components(found, labels)
-        open_rows = still_open(labels)
+    open_rows = still_open(shared, labels)
     sizes = open_rows.groupBy(F.col("route").alias("__r")).agg(F.count("*").alias("size"))
     sized = materialize(open_rows.drop("partner").join(sizes, F.col("route") == F.col("__r")).drop("__r"), "near-sized")
-    large = anchored(sized.where(F.col("size") > FANOUT)).join(classes.select("c", "bits"), "c")
-    few = bits_fit(materialize(small_pairs(sized.where(F.col("size") <= FANOUT), percent), "near-small"), classes, percent)
-    more = link(few.unionByName(tree_pairs(large, percent)).distinct())
+    # a small route gives few pairs, whoever gives them again; it is walked by itself
+    few = sized.where(F.col("size") <= SMALL).withColumn("anchor", F.col("route"))
+    walked = anchored(sized.where(F.col("size") > SMALL)).unionByName(few)
+    more = link(tree_pairs(walked.join(classes.select("c", "bits"), "c"), percent))
     labels = labels if more is None else components(more, labels)
     whole = named.withColumn("label", F.col("c"))
     if labels is not None:
