@@ -67,17 +67,23 @@ def passes(low: bytes) -> bool:
     return any(g in low and (len(g) > SHORT or re.search(rb"(?<![0-9a-z\x80-\xff])" + g, low)) for g in compiled()[1])
 
 
+def word_numbers(words: bytes, at: list[int]) -> list[int]:
+    """How many words stand before each place of ' '-joined words."""
+    spaces = np.flatnonzero(np.frombuffer(words, np.uint8) == 0x20)
+    return np.searchsorted(spaces, np.array(at, np.int64)).tolist()
+
+
 def find_base(padded: bytes) -> list[tuple[int, int, str]]:
     """(first word, last word, label) of every place of the base phrases in
     ' word word ... '."""
-    out = []
+    found = []
     for phrase, label in BASE:
         at = padded.find(f" {phrase} ".encode())
         while at >= 0:
-            first = padded.count(b" ", 0, at)
-            out.append((first, first + phrase.count(" "), label))
+            found.append((at, phrase.count(" "), label))
             at = padded.find(f" {phrase} ".encode(), at + 1)
-    return sorted(out)
+    first = word_numbers(padded, [x[0] for x in found])
+    return sorted((f, f + more, label) for f, (_, more, label) in zip(first, found))
 
 
 def detect(words: bytes) -> list[tuple[int, int, str, int]]:
@@ -88,11 +94,30 @@ def detect(words: bytes) -> list[tuple[int, int, str, int]]:
         if keyword in words:
             for priority, label, pattern in own:
                 found += [(m.start(), m.end(), label, priority) for m in pattern.finditer(words)]
-    kept: list[tuple[int, int, str, int]] = []
-    for x in sorted(found, key=lambda x: (-x[3], x[0])):
-        if not any(k[0] <= x[0] and x[1] <= k[1] for k in kept):
-            kept.append(x)
-    return sorted((words.count(b" ", 0, s), words.count(b" ", 0, e), label, p) for s, e, label, p in kept)
+    if not found:
+        return []
+    stays = outside_higher(*(np.array(x) for x in zip(*[(s, e, p) for s, e, _, p in found])))
+    kept = [found[i] for i in stays.tolist()]
+    first, last = word_numbers(words, [x[0] for x in kept]), word_numbers(words, [x[1] for x in kept])
+    return sorted((f, e, label, p) for f, e, (_, _, label, p) in zip(first, last, kept))
+
+
+def outside_higher(start: np.ndarray, end: np.ndarray, priority: np.ndarray) -> np.ndarray:
+    """Which intervals lie in none of higher priority.
+
+    One that lies in a suppressed interval lies in the one that suppressed that, so
+    all higher ones count, kept or not: by start, with the farthest end so far."""
+    stays = []
+    starts, far = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for p in np.unique(priority)[::-1]:
+        mine = np.flatnonzero(priority == p)
+        at = np.searchsorted(starts, start[mine], "right") - 1
+        inside = (at >= 0) & (np.append(far, -1)[at] >= end[mine])
+        stays.append(mine[~inside])
+        starts, far = np.append(starts, start[mine]), np.append(far, end[mine])
+        order = np.argsort(starts, kind="stable")
+        starts, far = starts[order], np.maximum.accumulate(far[order])
+    return np.concatenate(stays)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
