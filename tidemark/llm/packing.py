@@ -178,14 +178,15 @@ def best_fit_decreasing(lengths: np.ndarray, context: int) -> list[list[int]]:
     return rows
 
 
-SCHEMA = ("n_tokens int, n_segments int, input_ids binary, cu_seqlens array<int>, "
+SCHEMA = ("n_tokens int, n_segments int, input_ids binary, position_ids binary, cu_seqlens array<int>, "
           "doc_ids array<bigint>, offsets array<bigint>")
 
 
 def pack(docs: DataFrame, context: int = 2048, vocabulary: str = VOCABULARY, id_col: str = "doc_id",
          text_col: str = "text", window: int = WINDOW_TOKENS) -> DataFrame:
-    """Packed rows: n_tokens, n_segments, input_ids (context uint16), cu_seqlens
-    (0 and the running ends), doc_ids and offsets (of each segment in its document)."""
+    """Packed rows: n_tokens, n_segments, input_ids (context uint16), position_ids
+    (context uint16: from 0 in every segment, 0 in the padding), cu_seqlens (0 and the
+    running ends), doc_ids and offsets (of each segment in its document)."""
     def each(batches):
         enc = encoder(vocabulary)
         held: list[tuple] = []  # doc_id, offset, ids
@@ -200,8 +201,10 @@ def pack(docs: DataFrame, context: int = 2048, vocabulary: str = VOCABULARY, id_
                 for i in row:
                     ids[at[-1]: at[-1] + len(held[i][2])] = held[i][2]
                     at.append(at[-1] + len(held[i][2]))
-                out.append((at[-1], len(row), ids.tobytes(), at, [held[i][0] for i in row], [held[i][1] for i in row]))
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                resets = np.zeros(context, "<u2")
+                resets[: at[-1]] = positions(at)
+                out.append((at[-1], len(row), ids.tobytes(), resets.tobytes(), at, [held[i][0] for i in row], [held[i][1] for i in row]))
+            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
                                               [x.split()[0] for x in SCHEMA.split(", ")])
 
@@ -235,7 +238,7 @@ def pack(docs: DataFrame, context: int = 2048, vocabulary: str = VOCABULARY, id_
     return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, SCHEMA)
 
 
-def positions(cu_seqlens, context: int | None = None) -> np.ndarray:
+def positions(cu_seqlens) -> np.ndarray:
     """Position ids of a row: they start over with every segment."""
     at = np.asarray(cu_seqlens)
     n = np.diff(at)
@@ -252,5 +255,6 @@ def unpack(packed: DataFrame) -> DataFrame:
 
 
 def write_matrix(packed: DataFrame, path: str) -> None:
-    """Write packed rows; ``input_ids`` of a file together are its id matrix."""
+    """Write packed rows; ``input_ids`` of a file together are its id matrix, and
+    ``position_ids`` the matrix of position resets beside it."""
     packed.write.mode("errorifexists").parquet(path)
