@@ -53,13 +53,15 @@ def best(v: np.ndarray, ids: np.ndarray, q: np.ndarray, own: int, k: int) -> np.
     others = np.flatnonzero(ids != own)
     if len(others) <= k:
         return top(v[others] @ q, ids[others], others, k)
-    # essential terms: as many as it takes for the rest to span less than half of all
-    span = np.cumsum((high - low)[order])
-    essential = max(1, int(np.searchsorted(span, span[-1] / 2)) + 1)
+    # a first threshold: the k-th best of the k that look best by the widest terms
+    widest = order[:PROBE]
+    lead = others[np.argpartition(-(v[np.ix_(others, widest)] @ q[widest]), k - 1)[:k]]
+    bar = np.sort(v[lead] @ q)[0]
+    # essential terms: without them no vector reaches the threshold, whatever the others add
+    most = low.sum() + np.append(np.cumsum((high - low)[order][::-1])[::-1], 0.0)  # by all terms but the first ones
+    essential = max(1, int(np.argmax(most < bar)) if (most < bar).any() else len(q))
     seen = order[:essential]
     part = v[:, seen][others] @ q[seen]
-    lead = others[np.argpartition(-part, k - 1)[:k]]
-    bar = np.sort(v[lead] @ q)[0]  # the k-th best of k whole scores
     at = essential
     while True:
         keep = part + after[at] >= bar
