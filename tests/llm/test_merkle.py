@@ -7,7 +7,7 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.conftest import DOCS
-from tidemark.llm import merkle
+from tidemark.llm import merkle, places
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
@@ -72,7 +72,7 @@ def test_every_shape_of_tree(spark, sizes):
 
 @pytest.mark.parametrize("limit", [0, 1 << 30])
 def test_joins_agree_with_and_without_broadcast(spark, monkeypatch, limit):
-    monkeypatch.setattr(merkle, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(places, "BROADCAST_BYTES", limit)
     rows = [(i // 2, f"text {i % 50}", "en", "hot" if i % 3 else f"s{i % 40}", 1) for i in range(400)] + [(7, "again", "en", "hot", 1)] * 60
     assert made(spark.createDataFrame(rows, DOCS).repartition(4)) == brute(rows)
 

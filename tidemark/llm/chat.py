@@ -7,9 +7,10 @@ and goes (an anti-join); of equal conversations the smallest id stays.
 
 The rolling hash is a sum over turns of hashes of (place, role, text), so whole
 conversations hash in a map-side aggregate and running sums need only the turns
-of one block: places and sums are computed per block of turns, then shifted by
-the totals of the blocks before.  A conversation with a third of all turns is
-spread over its blocks, and its rendered text comes in parts.
+of one block: turns are placed over sorted range partitions, sums are computed per
+block of places and shifted by the totals of the blocks before.  A conversation with
+a third of all turns is spread over many tasks, whatever its turn numbers, and its
+rendered text comes in parts.  Prefixes are compared by 64 bits of hashes and length.
 
 Defined results
 ---------------
@@ -25,9 +26,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.places import numbered
 from tidemark.session import materialize
 
-BLOCK_TURNS = 32
+BLOCK_TURNS = 256
+#: Characters of a text that partitions are cut by, among turns alike in number and role.
+START = 64
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -35,32 +39,23 @@ def placed_turns(turns: DataFrame, id_col="conv_id", turn_col="turn", role_col="
     """conv_id, place (from 1), role, text, h1, h2: the rolling hashes up to each turn."""
     rows = turns.select(F.col(id_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                         F.col(role_col).alias("role"), F.col(text_col).alias("text")).distinct()
-    rows = materialize(rows.withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS)), "chat-turns")
-    before = Window.partitionBy("conv_id").orderBy(F.col("block").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1)
-
-    def offsets(df, *sums):
-        """Totals of the blocks before each block: one row per block passes."""
-        per = df.groupBy("conv_id", "block").agg(*[F.sum(s).alias(s) for s in sums])
-        return per.select(F.col("conv_id").alias("__c"), F.col("block").alias("__b"),
-                          *[F.coalesce(F.sum(s).over(before), F.lit(0).cast("decimal(38,0)")).alias(f"__{s}") for s in sums])
-
-    same = F.col("conv_id").eqNullSafe(F.col("__c")) & F.col("block").eqNullSafe(F.col("__b"))
-    inner = Window.partitionBy("conv_id", "block").orderBy(
-        F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
-    counts = offsets(rows.withColumn("n", F.lit(1)), "n")
-    placed = (rows.withColumn("__r", F.row_number().over(inner)).join(counts, same)
-              .withColumn("place", (F.col("__r") + F.col("__n")).cast("long")).drop("__c", "__b", "__n", "__r"))
+    rows = materialize(rows.withColumn("start", F.substring("text", 1, START)), "chat-turns")
+    placed = (numbered(rows, "conv_id", ["turn", "role", "text"], ["turn", "role", "start"])
+              .select("conv_id", "role", "text", (F.col("place") + 1).alias("place"), F.floor(F.col("place") / BLOCK_TURNS).alias("block")))
     # two 32-bit hashes of each turn at its place; their running sums stay exact
     content = [F.col("place"), F.coalesce("role", F.lit("\x00")), F.coalesce("text", F.lit("\x00"))]
     big = F.xxhash64(*content)
     placed = materialize(placed.withColumn("t1", F.shiftrightunsigned(big, 32)).withColumn("t2", big.bitwiseAND(0xFFFFFFFF)),
                          "chat-placed")
-    run = inner.rowsBetween(Window.unboundedPreceding, 0)
-    return (placed.withColumn("__r1", F.sum("t1").over(run)).withColumn("__r2", F.sum("t2").over(run))
-            .join(offsets(placed, "t1", "t2"), same)
-            .select("conv_id", "place", "role", "text", (F.col("__r1") + F.col("__t1")).cast("long").alias("h1"),
-                    (F.col("__r2") + F.col("__t2")).cast("long").alias("h2")))
+    run = Window.partitionBy("conv_id", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    per = placed.groupBy("conv_id", "block").agg(F.sum("t1").alias("s1"), F.sum("t2").alias("s2"))
+    offsets = per.select(F.col("conv_id").alias("__c"), F.col("block").alias("__b"),  # one row per block passes
+                         *[F.coalesce(F.sum(s).over(before), F.lit(0).cast("decimal(38,0)")).alias(f"__{s}") for s in ("s1", "s2")])
+    same = F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("block") == F.col("__b"))
+    return (placed.withColumn("__r1", F.sum("t1").over(run)).withColumn("__r2", F.sum("t2").over(run)).join(offsets, same)
+            .select("conv_id", "place", "role", "text", (F.col("__r1") + F.col("__s1")).cast("long").alias("h1"),
+                    (F.col("__r2") + F.col("__s2")).cast("long").alias("h2")))
 
 
 def maximal(turns: DataFrame) -> DataFrame:

@@ -31,21 +31,18 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.relational import estimated_bytes
+from tidemark.llm.places import numbered, small
 from tidemark.session import materialize
 
 ARITY = 3
 #: Levels that one aggregate builds, and the nodes that it takes together.
 LEVELS = 3
 SPAN = ARITY**LEVELS
-#: Tables of no more bytes, as written, are broadcast; beyond that joins shuffle.
-BROADCAST_BYTES = 2 << 20
 #: The tree over the groups; trees of groups are numbered from 0.
 TOP = -1
-ROW_BITS = 33  # of monotonically_increasing_id
 
 
 def field(c: Column) -> Column:
@@ -58,35 +55,6 @@ def leaf(*fields: Column) -> Column:
     return F.sha2(F.concat(*[field(c) for c in fields]), 256)
 
 
-def small(df: DataFrame) -> DataFrame:
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= BROADCAST_BYTES else df
-
-
-def numbered(df: DataFrame, group: str | None, order: list[str]) -> DataFrame:
-    """``df`` with ``place`` (from 0, by ``order`` within ``group``) and, for a group, ``n`` (its rows).
-
-    Sorted over range partitions; only row numbers of partitions are summed."""
-    # rows alike in all else are told apart, so that they can lie in several partitions
-    keys = [F.col(c).asc_nulls_first() for c in ([group] if group else []) + order]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = (df.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(parts, *keys, "__row")
-                   .sortWithinPartitions(*keys, "__row").withColumn("__row", F.monotonically_increasing_id()))
-    rows = materialize(sorted_rows, "merkle-sorted").withColumn("__part", F.shiftright("__row", ROW_BITS))
-    by = [F.col(group).alias("__group")] if group else []
-    sums = rows.groupBy(*by, "__part").agg(F.min("__row").alias("__first"), F.count("*").alias("__rows"))
-    whole = Window.partitionBy("__group") if group else Window.partitionBy()
-    upto = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = materialize(sums.select(
-        *["__group"] * bool(group), F.col("__part").alias("__p"), (F.sum("__rows").over(upto) - F.col("__rows") - F.col("__first")).alias("__shift"),
-        F.sum("__rows").over(whole).alias("n")), "merkle-starts")
-    on = F.col("__part") == F.col("__p")
-    if group:
-        on = on & F.col(group).eqNullSafe(F.col("__group"))
-    return (rows.join(small(starts), on).withColumn("place", F.col("__row") + F.col("__shift"))
-            .drop("__row", "__part", "__p", "__shift", "__group"))
-
-
 def height(n: Column) -> Column:
     """Levels above the leaves of a tree of n leaves."""
     return F.size(F.filter(F.array(*[F.lit(ARITY**i).cast("long") for i in range(40)]), lambda p: p < n))
