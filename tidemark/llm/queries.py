@@ -190,11 +190,11 @@ def op9_licenses(spark, sf):
 OP5_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT * FROM (SELECT item_id, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) >= 8),
-m AS (SELECT unnest([[0,1,3,4,6,7], [0,2,3,4,5,7], [0,1,2,5,6,7]]) AS o),
+m AS (SELECT unnest([[0,1,3,4,6,7], [0,2,3,4,5,7], [0,1,2,5,6,7], [0,1,3,5,7,8], [0,1,2,3,4,5]]) AS o),
 ds AS (SELECT doc_id, p, o, array_to_string(list_transform(o, lambda k: w[p + k + 1]), ' ') AS seed
-       FROM (SELECT doc_id, w, unnest(range(0, len(w) - 7)) AS p FROM d), m),
+       FROM (SELECT doc_id, w, unnest(range(0, len(w) - 5)) AS p FROM d), m WHERE p + o[6] < len(w)),
 bs AS (SELECT item_id, p, o, array_to_string(list_transform(o, lambda k: w[p + k + 1]), ' ') AS seed
-       FROM (SELECT item_id, w, unnest(range(0, len(w) - 7)) AS p FROM b), m),
+       FROM (SELECT item_id, w, unnest(range(0, len(w) - 5)) AS p FROM b), m WHERE p + o[6] < len(w)),
 h AS (SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS start FROM ds JOIN bs ON ds.seed = bs.seed AND ds.o = bs.o),
 a AS (SELECT h.*, len(b.w) AS n_item,
         list_transform(range(greatest(0, -start), least(len(b.w), len(d.w) - start)), lambda i: (b.w[i + 1] = d.w[i + 1 + start])::INT) AS same
