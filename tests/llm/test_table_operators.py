@@ -195,3 +195,17 @@ def test_mix_meets_targets_and_agrees_with_itself(odd, odd_rows, clashing, empty
         count[repr(r[0]), repr(r[1]), r[2]] += r[5]
     assert kept.count() == sum(r[5] for r in rows)
     assert mixing.mix_plan(empty).collect() == [] and mixing.mix(empty).collect() == []
+
+
+def test_turns_without_numbers_spread_over_tasks(spark):
+    """A conversation whose turns all have the same number, or none, is cut by rows."""
+    rows = [(1, None, "user", f"t{i:05d}", "m", "m") for i in range(1500)] + [(2, 7, "user", f"t{i:05d}", "m", "m") for i in range(1500)]
+    rows += [(3, 7, "user", f"t{i:05d}", "m", "m") for i in range(700)] + [(None, None, None, f"n{i}", "m", "m") for i in range(600)]
+    turns = spark.createDataFrame(rows, TURNS).repartition(6)
+    got = defaultdict(list)
+    for r in chat.format_chats(turns).collect():
+        got[r.conv_id, r.n_turns, r.copies].append((r.part, r.text))
+    assert sorted(((*k, "".join(t for _, t in sorted(v))) for k, v in got.items()), key=repr) == brute_chats(rows)
+    placed = chat.placed_turns(turns.where("conv_id = 1"))
+    assert sorted(r.place for r in placed.select("place").collect()) == list(range(1, 1501))
+    assert spark.sparkContext.defaultParallelism and len({r.h1 for r in placed.select("h1").collect()}) == 1500

@@ -294,3 +294,35 @@ def test_licenses_of_an_empty_table(empty):
 
 def test_columns_of_other_names(odd):
     assert licenses.scan(odd.select(F.col("text").alias("t"), F.col("doc_id").alias("i")), "i", "t").count() == odd.count()
+
+
+def test_long_repetitive_texts_are_scanned_in_linear_time():
+    import time
+    unit = b"licensed under the mit license version 2 apache license version 2 0 cc by nc 4 0 "
+    took = {}
+    for n in (2_000, 25_000):  # the longer one has 2 MB
+        words = (unit * n).strip()
+        start = time.time()
+        base, found = licenses.find_base(b" " + words + b" "), licenses.detect(words)
+        took[n] = time.time() - start
+        assert len(base) >= 2 * n and len(found) >= n and base[-1][0] > 14 * (n - 1)
+    assert took[25_000] < 60 * max(took[2_000], 0.05)
+
+
+def test_suppression_equals_all_pairs():
+    rng = random.Random(12)
+    for _ in range(200):
+        n = rng.randrange(1, 40)
+        found = [(s := rng.randrange(60), s + rng.randrange(1, 20), rng.randrange(5)) for _ in range(n)]
+        # one rule's matches do not overlap
+        found = [x for i, x in enumerate(found) if not any(y[2] == x[2] and y[0] < x[1] and x[0] < y[1] for y in found[:i])]
+        got = licenses.outside_higher(*(np.array(x) for x in zip(*found)))
+        want = [i for i, x in enumerate(found) if not any(y[2] > x[2] and y[0] <= x[0] and x[1] <= y[1] for y in found)]
+        assert sorted(got.tolist()) == want
+
+
+def test_position_resets_are_written(spark, odd):
+    for r in packing.pack(odd, context=64).collect():
+        at, pos = r.cu_seqlens, np.frombuffer(r.position_ids, "<u2")
+        assert len(pos) == 64 and not pos[at[-1]:].any()
+        assert all((pos[x:y] == np.arange(y - x)).all() for x, y in zip(at, at[1:]))
