@@ -3,8 +3,9 @@
 The customer change feed is replayed batch by batch (full load, then three
 batches); after each batch the SCD2 dimension runs once at the replayed run
 time.  Every state is written to the shared work folder, so lineage stays
-one step deep.  Results are memoised per Spark application and input folder:
-the registry builds the star once and every query reads the same files.
+one step deep.  Results are memoised per Spark application and state of the input
+folder (its files, their sizes and times): the registry builds the star once and
+every query reads the same files.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from tidemark.operators import scd
 from tidemark.operators import star as S
 from tidemark.session import materialize, work_dir
 from tidemark.sources import fixtures as X
+from tidemark.sources.tables import folder_state
 
 CUSTOMER_PK = C.TABLE_KEYS["customers"]
 
@@ -38,8 +40,8 @@ class Curated:
 _MEMO: dict[tuple, object] = {}
 
 
-def _memo_key(spark: SparkSession, *parts) -> tuple:
-    return (spark.sparkContext.applicationId, *parts)
+def _memo_key(spark: SparkSession, name: str, sf_dir: str, *parts) -> tuple:
+    return (spark.sparkContext.applicationId, name, sf_dir, folder_state(spark, sf_dir), *parts)
 
 
 def change_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:

@@ -7,7 +7,9 @@ on what the jobs derive from them under the work folder.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes as C
@@ -227,6 +229,35 @@ def q_cdc_stale_ignored(spark, sf):
     return both[0][0].withColumn("kind", F.lit(both[0][1])).unionByName(both[1][0].withColumn("kind", F.lit(both[1][1])))
 
 
+@query("cdc_latest_all")
+def q_cdc_latest_all(spark, sf):
+    """The latest change of every customer over the full load and all three batches."""
+    batches = CU.curated(spark, sf).change_batches
+    return C.prepare(reduce(DataFrame.unionByName, batches), CUSTOMER_PK)
+
+
+@query("cdc_rejects_all")
+def q_cdc_rejects_all(spark, sf):
+    """Four loads in which customers whose id ends in 7 have a blank key: rows applied,
+    and rejected rows by batch."""
+    table = VersionedTable(spark, scratch_path(spark, "customers-rejects"))
+    for k, b in enumerate(CU.curated(spark, sf).change_batches):
+        blank = F.when(F.col("customer_id").endswith("7"), F.lit(" ")).otherwise(F.col("customer_id"))
+        ST.merge_batch(table, b.withColumn("customer_id", blank), CUSTOMER_PK, k)
+    applied = table.read().select(F.lit("applied").alias("what"))
+    rejected = ST.rejects(spark, table.path).select(F.concat(F.lit("rejected in "), F.col("batch_id").cast("string")).alias("what"))
+    return applied.unionByName(rejected).groupBy("what").agg(F.count("*").alias("rows"))
+
+
+@query("cdc_merge_plans")
+def q_cdc_merge_plans(spark, sf):
+    """The first batch merged by either plan: its keys broadcast, or one full outer join."""
+    c = CU.curated(spark, sf)
+    latest = C.prepare(c.change_batches[1], CUSTOMER_PK)
+    parts = [C.apply_changes(c.cleansed_states[0], latest, CUSTOMER_PK, broadcast_keys=b).withColumn("broadcast_keys", F.lit(b)) for b in (True, False)]
+    return parts[0].unionByName(parts[1])
+
+
 @query("scd2_two_steps")
 def q_scd2_two_steps(spark, sf):
     """Close, then open (D2, D3), run by run: the same dimension as the one-step runs."""
