@@ -60,10 +60,8 @@ from tidemark.session import materialize
 FREQUENT = 65_536
 #: Classes of one route that one task holds on either side.
 BLOCK = 8_192
-#: Rows of routes that one task walks together (more are cut by route).
-ANCHOR_ROWS = 32_768
 #: Classes that one class is compared with in a round of contraction.
-CONTRACT_PAIRS = 2
+CONTRACT_PAIRS = 6
 #: Sets that a task remembers to have met (a saving, whatever it forgets).
 SEEN = 1 << 16
 #: Children of a node.
@@ -417,12 +415,11 @@ def route_pairs(n, c, label, bits, side, percent):
 
 
 def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(anchor, route, n, c, label, bits, size) of routes with several components ->
-    distinct (a, b)."""
+    """(route, n, c, label, bits, size) of routes with several components -> distinct (a, b)."""
     cut = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     mine = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
     spread = (cut.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("anchor", "route", F.least("mine", "other").alias("g1"), F.greatest("mine", "other").alias("g2"),
+              .select("route", F.least("mine", "other").alias("g1"), F.greatest("mine", "other").alias("g2"),
                       F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"),
                       "n", "c", "label", "bits"))
 
@@ -444,47 +441,44 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield from one(held)
 
-    def many(rows):
-        route, n, c, label = (np.asarray(rows.column(x)).astype(np.int64) for x in ("route", "n", "c", "label"))
-        got = list(small_routes(route, n, c, label, rows.column("bits").to_pylist(), percent))
-        a, b = (np.concatenate(x) for x in zip(*got))
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    met: dict = {"anchor": None, "pairs": np.zeros(0, np.uint64)}
-
     def one(group):
         n, c, label, side = (np.asarray(group.column(x)).astype(np.int64) for x in ("n", "c", "label", "side"))
-        if met["anchor"] != (now := group.column("anchor")[0].as_py()) or len(met["pairs"]) > 4 << 20:
-            met.update(anchor=now, pairs=np.zeros(0, np.uint64))
-        got = list(route_pairs(n, c, label, group.column("bits").to_pylist(), side, percent))
-        if not got:
-            return
-        a, b = (np.concatenate(x) for x in zip(*got))
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        # pairs that an earlier route of the anchor gave need not come again
-        h = B.mix(B.mix(a.view(np.uint64)) + b.view(np.uint64))
-        new = ~among(met["pairs"], h)
-        met["pairs"] = np.union1d(met["pairs"], h)
-        yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
-
-    return (spread.repartition("anchor", "g1", "g2").sortWithinPartitions("anchor", "route", "g1", "g2")
+        yield from given(route_pairs(n, c, label, group.column("bits").to_pylist(), side, percent))
+
+    def many(rows):
+        route, n, c, label = (np.asarray(rows.column(x)).astype(np.int64) for x in ("route", "n", "c", "label"))
+        yield from given(small_routes(route, n, c, label, rows.column("bits").to_pylist(), percent))
+
+    def given(got):
+        """Pairs in batches, as the traversal comes by them."""
+        some, size = [], 0
+        for a, b in got:
+            some.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+            size += len(a)
+            if size > 1 << 16:
+                yield batch_of(some)
+                some, size = [], 0
+        if size:
+            yield batch_of(some)
+
+    def batch_of(some):
+        pairs = np.unique(np.concatenate(some), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return (spread.repartition("route", "g1", "g2").sortWithinPartitions("route", "g1", "g2")
             .mapInArrow(walk, "a long, b long").distinct())
 
 
 def anchored(rows: DataFrame) -> DataFrame:
-    """Rows of routes with an ``anchor``, a class that routes with common members
-    tend to share: the least class of the neighbourhood.  Routes of an anchor are
-    walked by one task, which gives a pair once, as long as they are few enough."""
-    least = rows.groupBy("route").agg(F.min("c").alias("__m"))
-    reach = rows.join(least, "route").groupBy("c").agg(F.min("__m").alias("__m"))
-    anchors = materialize(rows.join(reach, "c").groupBy("route").agg(
-        F.min("__m").alias("anchor"), F.count("*").alias("__rows")), "near-anchors")
-    whole = anchors.groupBy("anchor").agg(F.sum("__rows").alias("__all"))
-    parts = F.ceil(F.col("__all") / ANCHOR_ROWS)
-    shares = anchors.join(whole, "anchor").select(
-        "route", F.xxhash64("anchor", F.pmod(F.xxhash64("route"), parts)).alias("anchor"))
-    return rows.join(shares, "route")
+    """(route, n, c, label) -> (route, n, c, label, size): routes that have the same least
+    class become one, in which a class stands once, whatever number of routes it shares.
+    What shares a route shares that of its least class, so no pair is lost; groups that
+    hold one component only go."""
+    least = rows.groupBy("route").agg(F.min("c").alias("__least"))
+    whole = materialize(rows.join(least, "route").select(F.col("__least").alias("route"), "n", "c", "label").distinct(), "near-anchored")
+    sizes = whole.groupBy(F.col("route").alias("__r")).agg(
+        F.count("*").alias("size"), F.min("label").alias("__a"), F.max("label").alias("__b")).where("__a <> __b")
+    return materialize(whole.join(sizes.select("__r", "size"), F.col("route") == F.col("__r")).drop("__r"), "near-sized")
 
 
 # ---- verification ----------------------------------------------------------
@@ -599,12 +593,7 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
             break
         labels = components(found, labels)
     open_rows = still_open(shared, labels)
-    sizes = open_rows.groupBy(F.col("route").alias("__r")).agg(F.count("*").alias("size"))
-    sized = materialize(open_rows.drop("partner").join(sizes, F.col("route") == F.col("__r")).drop("__r"), "near-sized")
-    # a small route gives few pairs, whoever gives them again; it is walked by itself
-    few = sized.where(F.col("size") <= SMALL).withColumn("anchor", F.col("route"))
-    walked = anchored(sized.where(F.col("size") > SMALL)).unionByName(few)
-    more = link(tree_pairs(walked.join(classes.select("c", "bits"), "c"), percent))
+    more = link(tree_pairs(anchored(open_rows).join(classes.select("c", "bits"), "c"), percent))
     labels = labels if more is None else components(more, labels)
     whole = named.withColumn("label", F.col("c"))
     if labels is not None:
