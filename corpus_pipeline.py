@@ -28,8 +28,9 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs)
-    scored = langid.predict(docs, model, out="__language", measured=True)
-    sure = langid.in_language(F.col("__language"), langid.usual_scores(docs, model), MIN_LANGUAGE_SCORE)
+    # written once: the usual scores are of all labelled rows, and every text is scored once
+    scored = materialize(langid.predict(docs, model, out="__language", measured=True), "lang-scores")
+    sure = langid.in_language(F.col("__language"), langid.usual_scores(scored), MIN_LANGUAGE_SCORE)
     return scored.where(sure).drop("__language")
 
 

@@ -81,3 +81,15 @@ def test_clean_documents_stay(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labelled = docs.where("lang IS NOT NULL")
     assert pipeline.language(spark, docs, SMALL).where(F.col("lang").isNotNull()).count() == labelled.count()
+
+
+def test_usual_scores_are_of_all_labelled_rows(spark):
+    """More rows of a language than any sample: every one counts, those of no label or few bytes don't."""
+    n = 12_000
+    rows = spark.range(n + 2).select(
+        F.when(F.col("id") < n, "en").alias("lang"),
+        F.struct(F.lit("en").alias("lang_pred"), F.lit(1.0).alias("score"), (-F.col("id").cast("double")).alias("per_byte"),
+                 F.when(F.col("id") == 0, 10).otherwise(100).cast("long").alias("word_bytes")).alias("__language"))
+    values = -np.arange(1, n, dtype=float)
+    got = langid.usual_scores(rows)
+    assert got.keys() == {"en"} and math.isclose(got["en"], values.mean() - langid.FAR_BELOW * values.std(), rel_tol=1e-9)

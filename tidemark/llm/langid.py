@@ -39,16 +39,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as B
 from tidemark.llm.batches import small_batches
-from tidemark.llm.workers import held
+from tidemark.llm.workers import held, trim, trimmed
 from tidemark.session import materialize
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Added to every piece's expected count.
 SMOOTHING = 0.05
 MAX_CACHED = 200_000
-#: Documents per language at most that the usual score per byte is measured on, and
-#: how far below it, in standard deviations, a text is none of the language's.
-MEASURED = 5_000
+#: How far below the usual score per byte, in standard deviations, a text is none of
+#: the language's.
 FAR_BELOW = 12.0
 #: Shorter texts (bytes of words) vary too much to be told by their score per byte.
 LEAST_BYTES = 64
@@ -325,7 +324,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                                            pa.array([k[1] for k in total], pa.string()),
                                            pa.array(list(total.values()), pa.int64())], ["lang", "word", "n"])
 
-    return docs.mapInArrow(each, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(trimmed(each), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 class Model:
@@ -363,7 +362,7 @@ def fit(docs: DataFrame, vocabulary: str = VOCABULARY, iterations: int = 1, text
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(piece), pa.string()), pa.array(piece, pa.int32()),
                                                   pa.array(got[piece])], ["lang", "piece", "n"])
 
-        got = (words.mapInArrow(expect, "lang string, piece int, n double")
+        got = (words.mapInArrow(trimmed(expect), "lang string, piece int, n double")
                .groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas())  # one row per piece and language
         for x, lang in enumerate(langs):
             counts = np.full(size, SMOOTHING)
@@ -447,24 +446,19 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out: str = "_
 
     @F.arrow_udf(f"struct<{PREDICTION}>")
     def language(texts: pa.Array) -> pa.Array:
-        return predictions(known.value, texts)
+        said = predictions(known.value, texts)
+        trim()
+        return said
 
     said = docs.withColumn(out, language(F.col(text_col)))
     return said if measured else said.withColumn(out, F.struct(F.col(f"{out}.lang_pred"), F.col(f"{out}.score")))
 
 
-def usual_scores(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", rows: int = MEASURED) -> dict[str, float]:
+def usual_scores(scored: DataFrame, lang_col: str = "lang", out: str = "__language") -> dict[str, float]:
     """The lowest score per byte that texts of each language come with: FAR_BELOW
-    standard deviations under the mean, measured on at most ``rows`` labelled texts of
-    each language (those whose hashes come first) with at least LEAST_BYTES of words."""
-    some = None
-    for lang in model.langs:
-        mine = docs.where((F.col(lang_col) == lang) & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"))
-        mine = mine.orderBy(F.xxhash64("text")).limit(rows)
-        some = mine if some is None else some.unionByName(mine)
-    if some is None:
-        return {}
-    got = predict(some, model, measured=True).select("__language.*").where(F.col("word_bytes") >= LEAST_BYTES)
+    standard deviations under the mean over all labelled texts with at least
+    LEAST_BYTES of words.  ``scored``: what ``predict`` gives with ``measured``."""
+    got = scored.where(F.col(lang_col).isNotNull()).select(f"{out}.*").where(F.col("word_bytes") >= LEAST_BYTES)
     stats = got.groupBy("lang_pred").agg(F.avg("per_byte").alias("mean"), F.stddev_pop("per_byte").alias("spread")).collect()  # a row per language
     return {r["lang_pred"]: r["mean"] - FAR_BELOW * r["spread"] for r in stats}
 

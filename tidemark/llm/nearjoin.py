@@ -51,7 +51,7 @@ from tidemark.llm import bytewords as B
 from tidemark.llm.batches import small_batches
 from tidemark.llm.components import components
 from tidemark.llm.shingles import set_digests, shingle_sets
-from tidemark.llm.workers import release
+from tidemark.llm.workers import release, trimmed
 from tidemark.operators.relational import maybe_broadcast
 from tidemark.session import materialize
 
@@ -97,7 +97,7 @@ def frequent_shingles(texts: DataFrame, k: int) -> np.ndarray:
         if held:
             yield flush()
 
-    top = (texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    top = (texts.mapInArrow(trimmed(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "h").limit(FREQUENT).select("h").toPandas())
     return np.sort(top["h"].to_numpy(np.int64).view(np.uint64))
 
@@ -157,7 +157,7 @@ def summaries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Da
                      pa.array(d2.view(np.int64)), pa.array(routes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
                     ["doc_id", "text_key", "n", "d1", "d2", "routes", "bits"])
 
-    return docs.mapInArrow(each, "doc_id long, text_key long, n long, d1 long, d2 long, routes array<long>, bits binary")
+    return docs.mapInArrow(trimmed(each), "doc_id long, text_key long, n long, d1 long, d2 long, routes array<long>, bits binary")
 
 
 def shared_routes(entries: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +171,7 @@ def shared_routes(entries: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(out[:, i]) for i in range(3)], ["route", "n", "c"])
 
     return (entries.repartition("route").sortWithinPartitions("route", "n", "c")
-            .mapInArrow(stream, "route long, n long, c long"))
+            .mapInArrow(trimmed(stream), "route long, n long, c long"))
 
 
 def meeting(rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +230,7 @@ def undecided(rows: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["route", "n", "c", "label", "partner"])
 
     return (rows.repartition("route").sortWithinPartitions("route", "n", "label")
-            .mapInArrow(stream, "route long, n long, c long, label long, partner long"))
+            .mapInArrow(trimmed(stream), "route long, n long, c long, label long, partner long"))
 
 
 def partners(rows: np.ndarray, percent: int) -> np.ndarray:
@@ -466,7 +466,7 @@ def tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return (spread.repartition("route", "g1", "g2").sortWithinPartitions("route", "g1", "g2")
-            .mapInArrow(walk, "a long, b long").distinct())
+            .mapInArrow(trimmed(walk), "a long, b long").distinct())
 
 
 def anchored(rows: DataFrame) -> DataFrame:
@@ -496,10 +496,10 @@ def class_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
     wanted = docs.join(maybe_broadcast(ids.where("doc_id is not null")), "doc_id").select("c", "text")
     # a doc_id that occurs with several texts gives sets of other classes, which go
-    sets = wanted.mapInArrow(each, "c long, want long, words binary").where("c = want").select("c", "words")
+    sets = wanted.mapInArrow(trimmed(each), "c long, want long, words binary").where("c = want").select("c", "words")
     # rows without an id are found by what they hold
     nameless = (docs.where("doc_id is null").select(F.lit(0).cast("long").alias("c"), "text")
-                .mapInArrow(each, "c long, want long, words binary").select("c", "words")
+                .mapInArrow(trimmed(each), "c long, want long, words binary").select("c", "words")
                 .join(ids.where("doc_id is null").select("c"), "c", "left_semi"))
     return sets.unionByName(nameless).dropDuplicates(["c"])
 
@@ -517,7 +517,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     return (pairs.join(sets.select(F.col("c").alias("a"), F.col("words").alias("x")), "a")
             .join(sets.select(F.col("c").alias("b"), F.col("words").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInArrow(each, "a long, b long"))
+            .select("a", "b", "x", "y").mapInArrow(trimmed(each), "a long, b long"))
 
 
 def bits_fit(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as B
 from tidemark.llm.batches import small_batches
-from tidemark.llm.workers import held
+from tidemark.llm.workers import held, trimmed
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published pre-token pattern of this vocabulary.
@@ -235,7 +235,7 @@ def pack(docs: DataFrame, context: int = 2048, vocabulary: str = VOCABULARY, id_
         if held:
             yield flush()
 
-    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, SCHEMA)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(trimmed(each), SCHEMA)
 
 
 def positions(cu_seqlens) -> np.ndarray:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
@@ -26,8 +27,23 @@ def release() -> None:
     if _held:
         _held.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # another C library: nothing to trim
-            pass
+        trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to trim
+        pass
+
+
+def trimmed(each: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``each`` (of ``mapInArrow``), after whose last batch freed memory goes back: the
+    worker stays, idle or at another operator's work, beside the executor's heap."""
+    def run(batches):
+        yield from each(batches)
+        trim()
+
+    return run
