@@ -41,3 +41,9 @@ def test_order_items_keep_the_latest_of_repeated_and_null_keys(spark, tmp_dir):
      .write.parquet(f"{tmp_dir}/lineitem.parquet"))
     got = {(r["order_id"], r["order_item_id"]): r["product_id"] for r in X.order_items(spark, tmp_dir).collect()}
     assert got == {("1", 1): "4", ("1", 2): "9", (None, 1): "2"}
+
+
+def test_formats_compute_their_input_once(spark, tmp_dir):
+    df, n = counted(spark, spark.range(100))
+    format_sizes(df, f"{tmp_dir}/f")
+    assert n.value == 100

@@ -37,16 +37,22 @@ def format_available(spark: SparkSession, fmt: str) -> bool:
 
 def format_sizes(df: DataFrame, out_dir: str, report_path: str | None = None) -> DataFrame:
     """Write every variant under ``out_dir/<label>`` and report
-    ``(format, bytes, pct_of_csv)``; unavailable formats get NULL bytes."""
+    ``(format, bytes, pct_of_csv)``; unavailable formats get NULL bytes.
+
+    ``df`` is computed once, for the Parquet variant; the others are written from it."""
     spark = df.sparkSession
-    data = lenient_timestamps(df)
+    root = out_dir.rstrip("/")
+    label, fmt, opts = next(f for f in FORMATS if f[1] == "parquet")
+    lenient_timestamps(df).write.mode("error").format(fmt).options(**opts).save(f"{root}/{label}")
+    data = spark.read.format(fmt).load(f"{root}/{label}")
     parts = []
     for label, fmt, opts in FORMATS:
-        path = f"{out_dir.rstrip('/')}/{label}"
+        path = f"{root}/{label}"
         if not format_available(spark, fmt):
             parts.append(spark.createDataFrame([(label, None)], "format string, bytes long"))
             continue
-        data.write.mode("error").format(fmt).options(**opts).save(path)
+        if fmt != "parquet":
+            data.write.mode("error").format(fmt).options(**opts).save(path)
         files = spark.read.format("binaryFile").load(path).select("length")
         parts.append(files.agg(F.sum("length").alias("bytes")).select(F.lit(label).alias("format"), "bytes"))
     sizes = parts[0]
