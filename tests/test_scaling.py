@@ -47,3 +47,13 @@ def test_formats_compute_their_input_once(spark, tmp_dir):
     df, n = counted(spark, spark.range(100))
     format_sizes(df, f"{tmp_dir}/f")
     assert n.value == 100
+
+
+def test_partition_merge_computes_the_changes_once(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    spark.range(20).selectExpr("id as k", "0 as seen", "id % 4 as part").write.partitionBy("part").parquet(path)
+    df, n = counted(spark, spark.range(5, 8).selectExpr("id as k", "'U' as Op", "2L as part"))
+    merge_into_partitions(spark, path, df, ["k"], "part")
+    assert n.value == 3
+    moved = {r["k"]: r["part"] for r in spark.read.parquet(path).collect()}
+    assert moved == {k: 2 if k in (5, 6, 7) else k % 4 for k in range(20)}
