@@ -105,7 +105,7 @@ def q_cdc_counts(spark, sf):
     c = CU.curated(spark, sf)
     out = None
     for k in (1, 2, 3):
-        plan = C.merge_plan(c.cleansed_states[k - 1], C.prepare(c.change_batches[k], CUSTOMER_PK), CUSTOMER_PK)
+        plan = C.merge_plan(c.cleansed_states[k - 1], c.latest_batches[k], CUSTOMER_PK)
         counts = C.applied_counts(plan, "customers").withColumn("batch", F.lit(k))
         out = counts if out is None else out.unionByName(counts)
     return out
