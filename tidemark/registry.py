@@ -580,7 +580,7 @@ def streamed_batches(spark, sf, buckets=None):
     batches = CU.curated(spark, sf).change_batches
     for run in (batches[:2], batches[2:]):
         for b in run:
-            b.coalesce(1).write.mode("append").parquet(landing)
+            b.repartition(1).write.mode("append").parquet(landing)  # one file, from a scan by many tasks
         schema = batches[0].schema
         ST.apply_stream(spark, landing, schema, table, CUSTOMER_PK, checkpoint, max_files_per_trigger=1, buckets=buckets)
     return spark.read.parquet(target).drop("_bucket") if buckets else table.read()
